@@ -35,8 +35,12 @@ def fail_message(rule: Expectation, dataset: str) -> str:
 
 
 def metric_columns(rules: Sequence[Expectation], as_of: str | None = None) -> list[Column]:
-    """``count(*)`` plus one ``failed_<i>`` count per rule (NULL counts as failed)."""
-    out = [F.count(F.lit(1)).alias("n")]
+    """``count(*)``, rows surviving the drop rules (``kept``) and one ``failed_<i>`` per rule.
+
+    NULL predicate results count as failed.
+    """
+    out = [F.count(F.lit(1)).alias("n"),
+           F.count_if(_all([r.passed(as_of) for r in rules if r.action == "drop"])).alias("kept")]
     out += [F.count_if(~r.passed(as_of)).alias(f"failed_{i}") for i, r in enumerate(rules)]
     return out
 
@@ -81,7 +85,7 @@ def expectation_report(df: DataFrame, rules: Sequence[Expectation], dataset: str
 
     One global aggregate with map-side partial counts, then a tiny unpivot.
     """
-    agg = df.agg(*metric_columns(rules, as_of))
+    agg = df.agg(*metric_columns(rules, as_of)).drop("kept")
     rows = [
         F.struct(F.lit(r.name).alias("name"), F.lit(r.action).alias("action"),
                  F.col(f"failed_{i}").alias("failed")) for i, r in enumerate(rules)
