@@ -17,11 +17,25 @@ from pyspark.sql import functions as F
 
 from strata.functions.rules import DEFAULT_RULES
 from strata.operators import gold, quality, silver
-from strata.sources import adapter
+from strata.plans import verify
+from strata.plans.pipeline import order_pipeline, table_changes
+from strata.session import new_run_dir
+from strata.sources import adapter, files
+from strata.sources.ingest import IngestOptions, ingest, read_bronze
+from strata.streaming import live
 
 # Fixed "now" for the plausible_timestamp rule, so results do not depend on the clock.
 AS_OF = "2026-08-31 00:00:00"
 SMOKE_DIR = "/root/testdata/sf0.001"
+# Parameters of the staged scenarios: events before EVOLVE_AT land without
+# ``props`` (the new column arrives later).  The pipeline's first update
+# backfills every order up to the last day of ``orders``; the second update
+# receives that last day plus the year-2099 defects — a new day arriving —
+# and refreshes only the gold dates it touches.
+EVOLVE_AT = "2024-01-11 00:00:00"
+EVENT_HINTS = "ts TIMESTAMP_NTZ"
+RESCUE_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
+_RUNS: dict = {}  # (scenario, sf_dir) -> result paths, so queries of one process share a run
 
 
 # ---------------------------------------------------------------- shared steps
@@ -66,6 +80,209 @@ def q_quarantine(spark, sf_dir):
     return q.select("order_id", "item_id", "qty", "store_id", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+def q_order_lines_outer(spark, sf_dir):
+    """G1 with keep_empty: orders without items stay, as one row with NULL item."""
+    lines = silver.order_lines(adapter.order_events(spark, sf_dir), keep_empty=True)
+    return lines.select("order_id", "item_id", "qty", "line_amount")
+
+
+def q_gold_daily_store_sales_sql(spark, sf_dir):
+    """The SQL variant of the gold view (K8 temp views + SQL text, J1, A4, A6)."""
+    _silver(spark, sf_dir).createOrReplaceTempView("silver_order_lines")
+    adapter.stores(spark, sf_dir).createOrReplaceTempView("stores")
+    return spark.sql(gold.SQL_VIEWS["gold_daily_store_sales"])
+
+
+def q_store_league(spark, sf_dir):
+    """V5 A8 A9 O-2: store league over the daily store view."""
+    return verify.store_league(q_gold_daily_store_sales(spark, sf_dir))
+
+
+def q_top_items_report(spark, sf_dir):
+    """V6 O-3: top 15 items by revenue (a top-k report; ties broken by key)."""
+    return verify.top_items(q_gold_top_items(spark, sf_dir), 15)
+
+
+# ---------------------------------------------------------------- ingest scenarios
+def _events(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+
+
+def _land_by_day(df, path):
+    """NDJSON, exactly one file per day (hash-partition by day, then partitionBy)."""
+    day = F.to_date("ts")
+    (df.withColumn("day", day).repartition("day").write.partitionBy("day")
+     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path))
+
+
+def _bronze_events(spark, sf_dir):
+    key = ("bronze_events", sf_dir)
+    if key not in _RUNS:
+        run = new_run_dir(spark, "ingest-events")
+        _land_by_day(_events(spark, sf_dir), f"{run}/landing")
+        opts = IngestOptions(schema_hints=EVENT_HINTS)
+        ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/state", opts)
+        ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/state", opts)  # re-run: no new files
+        _RUNS[key] = (run, opts)
+    run, opts = _RUNS[key]
+    return read_bronze(spark, f"{run}/bronze", f"{run}/state", opts), run
+
+
+def q_bronze_events(spark, sf_dir):
+    """Inferred + hinted schema, every row exactly once after a re-run."""
+    b, _ = _bronze_events(spark, sf_dir)
+    return b.select("event_id", "ts", "user_id", "event_type", "value", "props", "_rescued_data")
+
+
+def q_bronze_total_rows(spark, sf_dir):
+    """V2: total bronze rows after ingesting twice (idempotent re-run)."""
+    b, _ = _bronze_events(spark, sf_dir)
+    return verify.total_rows(b)
+
+
+def q_bronze_per_file(spark, sf_dir):
+    """V1: rows per landed file (one file per day)."""
+    b, _ = _bronze_events(spark, sf_dir)
+    return verify.per_file(b).select("rows")
+
+
+def q_landing_listing(spark, sf_dir):
+    """Files in the landing zone (listing only, contents not read)."""
+    _, run = _bronze_events(spark, sf_dir)
+    return files.list_files(spark, f"{run}/landing", "*.json").agg(F.count(F.lit(1)).alias("files"))
+
+
+def q_bronze_rescue(spark, sf_dir):
+    """Fixed schema in rescue mode; mismatched types and unknown keys land in _rescued_data."""
+    key = ("bronze_rescue", sf_dir)
+    if key not in _RUNS:
+        run = new_run_dir(spark, "ingest-rescue")
+        ev = _events(spark, sf_dir)
+        fields = ["event_id", "ts", "user_id", "event_type", "value"]
+        plain = F.to_json(F.struct(*fields))
+        bad_type = F.to_json(F.struct("event_id", "ts", F.concat(F.lit("u"), F.col("user_id").cast("string"))
+                                      .alias("user_id"), "event_type", "value"))
+        extra = F.to_json(F.struct(*fields, F.lit(1).alias("extra")))
+        line = (F.when(F.col("event_type") == "error", bad_type)
+                .when(F.col("event_type") == "signup", extra).otherwise(plain))
+        ev.select(line.alias("value")).write.text(f"{run}/landing")
+        opts = IngestOptions(schema=RESCUE_SCHEMA, evolution_mode="rescue")
+        ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/state", opts)
+        _RUNS[key] = (run, opts)
+    run, opts = _RUNS[key]
+    b = read_bronze(spark, f"{run}/bronze", f"{run}/state", opts)
+    return b.select("event_id", "user_id", "event_type", "_rescued_data")
+
+
+def _bronze_evolution(spark, sf_dir):
+    key = ("bronze_evolution", sf_dir)
+    if key not in _RUNS:
+        run = new_run_dir(spark, "ingest-evolve")
+        ev = _events(spark, sf_dir)
+        early = F.col("ts") < F.lit(EVOLVE_AT).cast("timestamp_ntz")
+        opts = IngestOptions(schema_hints=EVENT_HINTS)
+        _land_by_day(ev.filter(early).drop("props"), f"{run}/landing/stage1")
+        ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/state", opts)
+        late = ev.filter(~early).withColumn("props", F.from_json("props", "map<string,bigint>"))
+        _land_by_day(late, f"{run}/landing/stage2")
+        # addNewColumns: the first attempt records schema v1 and fails; the retry lands the rows.
+        ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/state", opts, retries=1)
+        _RUNS[key] = (run, opts)
+    run, opts = _RUNS[key]
+    return read_bronze(spark, f"{run}/bronze", f"{run}/state", opts), run
+
+
+def q_bronze_evolution(spark, sf_dir):
+    """A new nested column arrives; fail once, widen, retry; old rows read NULL."""
+    b, _ = _bronze_evolution(spark, sf_dir)
+    return b.select("event_id", "event_type", F.col("props.k").alias("props_k"))
+
+
+def q_new_column_population(spark, sf_dir):
+    """V3: rows and non-null count of the new column per day."""
+    b, _ = _bronze_evolution(spark, sf_dir)
+    return verify.column_population(b.withColumn("day", F.to_date("ts")), ("props",), by="day")
+
+
+def q_table_changes(spark, sf_dir):
+    """Rows inserted by bronze batches after the first one (pruned by batch_id)."""
+    _, run = _bronze_evolution(spark, sf_dir)
+    return table_changes(spark, f"{run}/bronze", 1).select("event_id", "_change_type")
+
+
+# ---------------------------------------------------------------- pipeline scenario
+def _pipeline(spark, sf_dir):
+    key = ("pipeline", sf_dir)
+    if key not in _RUNS:
+        run = new_run_dir(spark, "pipeline")
+        events = adapter.order_events(spark, sf_dir)
+        last_day = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").agg(
+            F.max(F.to_date("o_orderdate"))).first()[0]
+        early = F.to_date("order_ts") < F.lit(last_day)
+        _RUNS[key] = run
+        p = _order_pipeline(spark, sf_dir, run)
+        events.filter(early).write.json(f"{run}/landing/stage1")
+        p.run_update()
+        events.filter(~early).write.json(f"{run}/landing/stage2")
+        p.run_update()  # second update: gold views refresh only the dates that changed
+    return _order_pipeline(spark, sf_dir, _RUNS[key])
+
+
+def _order_pipeline(spark, sf_dir, run):
+    return order_pipeline(spark, f"{run}/pipe", f"{run}/landing", adapter.stores(spark, sf_dir),
+                          adapter.menu_items(spark, sf_dir), as_of=AS_OF)
+
+
+def q_pipeline_gold_daily_store_sales(spark, sf_dir):
+    """R1 K6 K7 S16 E1–E5 end to end: files → bronze → silver stream → incrementally refreshed gold."""
+    return _pipeline(spark, sf_dir).table("gold_daily_store_sales")
+
+
+def q_pipeline_gold_top_items(spark, sf_dir):
+    return _pipeline(spark, sf_dir).table("gold_top_items")
+
+
+def q_pipeline_gold_channel_mix(spark, sf_dir):
+    return _pipeline(spark, sf_dir).table("gold_channel_mix")
+
+
+def q_pipeline_row_counts(spark, sf_dir):
+    """Row counts of the five pipeline tables."""
+    p = _pipeline(spark, sf_dir)
+    return verify.row_counts({n: p.table(n) for n in p.order()})
+
+
+def q_event_log_expectations(spark, sf_dir):
+    """O1 O3 E5: per-rule passed/failed summed over the silver flow's events."""
+    p = _pipeline(spark, sf_dir)
+    return (p.log.expectation_results().filter(F.col("status") == "COMPLETED")
+            .groupBy("expectation").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed")))
+
+
+# ---------------------------------------------------------------- live stream
+def q_live_channel_sales(spark, sf_dir):
+    """Watermarked 1-day windows per event type over the events stream."""
+    key = ("live", sf_dir)
+    if key not in _RUNS:
+        run = new_run_dir(spark, "live")
+        src = _events(spark, sf_dir)
+        stream = (spark.readStream.schema(src.schema).option("pathGlobFilter", "events.parquet")
+                  .parquet(sf_dir))
+        agg = live.daily_window_agg(stream, ts_col="ts", keys=("event_type",), amount_col="value")
+        q = live.start(agg, name=f"live_{run.rsplit('-', 1)[-1]}", checkpoint=f"{run}/checkpoint",
+                       sink="parquet", path=f"{run}/live", trigger={"availableNow": True})
+        q.awaitTermination()
+        _RUNS[key] = run
+    return spark.read.parquet(f"{_RUNS[key]}/live").withColumnRenamed("event_type", "channel")
+
+
+def q_dimension_csv(spark, sf_dir):
+    """A dimension written as header CSV and read back with inferred types."""
+    run = new_run_dir(spark, "dims")
+    adapter.stores(spark, sf_dir).write.option("header", True).csv(f"{run}/stores")
+    return files.read_csv_dimension(spark, f"{run}/stores")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "silver_order_lines": q_silver_order_lines,
@@ -74,6 +291,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_channel_mix": q_gold_channel_mix,
         "expectation_counts": q_expectation_counts,
         "quarantine": q_quarantine,
+        "order_lines_outer": q_order_lines_outer,
+        "gold_daily_store_sales_sql": q_gold_daily_store_sales_sql,
+        "store_league": q_store_league,
+        "top_items_report": q_top_items_report,
+        "bronze_events": q_bronze_events,
+        "bronze_total_rows": q_bronze_total_rows,
+        "bronze_per_file": q_bronze_per_file,
+        "landing_listing": q_landing_listing,
+        "bronze_rescue": q_bronze_rescue,
+        "bronze_evolution": q_bronze_evolution,
+        "new_column_population": q_new_column_population,
+        "table_changes": q_table_changes,
+        "pipeline_gold_daily_store_sales": q_pipeline_gold_daily_store_sales,
+        "pipeline_gold_top_items": q_pipeline_gold_top_items,
+        "pipeline_gold_channel_mix": q_pipeline_gold_channel_mix,
+        "pipeline_row_counts": q_pipeline_row_counts,
+        "event_log_expectations": q_event_log_expectations,
+        "live_channel_sales": q_live_channel_sales,
+        "dimension_csv": q_dimension_csv,
     }
 
 
@@ -112,6 +348,28 @@ _RULE_SQL = [  # (name, action, predicate) — DEFAULT_RULES with now = AS_OF
 ]
 
 
+def _gold_sql(view: str) -> str:
+    """Oracle body of one gold view over the CTE ``silver`` (appended after ``_SILVER``)."""
+    return {
+        "gold_daily_store_sales": f""",
+            agg AS (SELECT order_date, store_id, COUNT(DISTINCT order_id) AS orders, {_CENTS} AS c,
+                           CAST(SUM(qty) AS BIGINT) AS units_sold FROM silver GROUP BY order_date, store_id),
+            gold AS (SELECT order_date, agg.store_id, s.store_name, s.city, s.region, orders,
+                   CAST(c AS DOUBLE) / 100.0 AS revenue, units_sold, {_ratio('c', 'orders')} AS avg_basket_value
+            FROM agg LEFT JOIN ({_STORES}) s ON agg.store_id = s.store_id)""",
+        "gold_top_items": f""",
+            agg AS (SELECT order_date, item_id, CAST(SUM(qty) AS BIGINT) AS units_sold, {_CENTS} AS c,
+                           COUNT(DISTINCT order_id) AS orders_containing_item FROM silver GROUP BY order_date, item_id),
+            gold AS (SELECT order_date, agg.item_id, m.item_name, m.category, units_sold,
+                   CAST(c AS DOUBLE) / 100.0 AS revenue, orders_containing_item
+            FROM agg LEFT JOIN ({_MENU}) m ON agg.item_id = m.item_id)""",
+        "gold_channel_mix": f""",
+            gold AS (SELECT order_date, channel, payment_method, COUNT(DISTINCT order_id) AS orders,
+                   CAST({_CENTS} AS DOUBLE) / 100.0 AS revenue
+            FROM silver GROUP BY order_date, channel, payment_method)""",
+    }[view]
+
+
 def oracle_sql() -> dict[str, str]:
     report = " UNION ALL ".join(
         f"SELECT '{n}' AS name, '{a}' AS action, "
@@ -120,26 +378,68 @@ def oracle_sql() -> dict[str, str]:
         for n, a, p in _RULE_SQL)
     keep = " AND ".join(f"COALESCE({p}, false)" for n, a, p in _RULE_SQL if a == "drop")
     fails = ", ".join(f"CASE WHEN NOT COALESCE({p}, false) THEN '{n}' END" for n, a, p in _RULE_SQL if a == "drop")
+    gold_sql = {v: f"{_SILVER}{_gold_sql(v)} SELECT * FROM gold"
+                for v in ("gold_daily_store_sales", "gold_top_items", "gold_channel_mix")}
+    cents2 = "CAST(SUM(CAST(ROUND({x} * 100) AS BIGINT)) AS DOUBLE) / 100.0"
+    per_rule = " UNION ALL ".join(
+        f"SELECT '{n}' AS expectation, "
+        f"CAST(count(*) - count(*) FILTER (WHERE NOT COALESCE({p}, false)) AS BIGINT) AS passed, "
+        f"CAST(count(*) FILTER (WHERE NOT COALESCE({p}, false)) AS BIGINT) AS failed FROM lines"
+        for n, a, p in _RULE_SQL)
+    evolve = f"TIMESTAMP '{EVOLVE_AT}'"
     return {
         "silver_order_lines": f"{_SILVER} SELECT * FROM silver",
-        "gold_daily_store_sales": f"""{_SILVER},
-            agg AS (SELECT order_date, store_id, COUNT(DISTINCT order_id) AS orders, {_CENTS} AS c,
-                           CAST(SUM(qty) AS BIGINT) AS units_sold FROM silver GROUP BY order_date, store_id)
-            SELECT order_date, agg.store_id, s.store_name, s.city, s.region, orders,
-                   CAST(c AS DOUBLE) / 100.0 AS revenue, units_sold, {_ratio('c', 'orders')} AS avg_basket_value
-            FROM agg LEFT JOIN ({_STORES}) s ON agg.store_id = s.store_id""",
-        "gold_top_items": f"""{_SILVER},
-            agg AS (SELECT order_date, item_id, CAST(SUM(qty) AS BIGINT) AS units_sold, {_CENTS} AS c,
-                           COUNT(DISTINCT order_id) AS orders_containing_item FROM silver GROUP BY order_date, item_id)
-            SELECT order_date, agg.item_id, m.item_name, m.category, units_sold,
-                   CAST(c AS DOUBLE) / 100.0 AS revenue, orders_containing_item
-            FROM agg LEFT JOIN ({_MENU}) m ON agg.item_id = m.item_id""",
-        "gold_channel_mix": f"""{_SILVER}
-            SELECT order_date, channel, payment_method, COUNT(DISTINCT order_id) AS orders,
-                   CAST({_CENTS} AS DOUBLE) / 100.0 AS revenue
-            FROM silver GROUP BY order_date, channel, payment_method""",
+        **gold_sql,
         "expectation_counts": f"WITH {_CTE} {report}",
         "quarantine": f"""WITH {_CTE}
             SELECT order_id, item_id, qty, store_id, concat_ws(',', {fails}) AS failed_rules
             FROM lines WHERE NOT ({keep})""",
+        "order_lines_outer": f"""WITH {adapter.oracle_lines_cte('LEFT JOIN')}
+            SELECT order_id, item_id, qty, line_amount FROM lines""",
+        "gold_daily_store_sales_sql": gold_sql["gold_daily_store_sales"],
+        "store_league": f"""{_SILVER}{_gold_sql('gold_daily_store_sales')}
+            SELECT region, city, store_name, CAST(SUM(orders) AS BIGINT) AS orders,
+                   {cents2.format(x='revenue')} AS revenue,
+                   {_ratio('SUM(CAST(ROUND(avg_basket_value * 100) AS BIGINT))', 'COUNT(avg_basket_value)')}
+                     AS avg_basket
+            FROM gold GROUP BY region, city, store_name""",
+        "top_items_report": f"""{_SILVER}{_gold_sql('gold_top_items')}
+            SELECT category, item_name, CAST(SUM(units_sold) AS BIGINT) AS units,
+                   {cents2.format(x='revenue')} AS revenue
+            FROM gold GROUP BY category, item_name
+            ORDER BY revenue DESC, category, item_name LIMIT 15""",
+        "bronze_events": "SELECT event_id, ts, user_id, event_type, value, props, "
+                         "CAST(NULL AS VARCHAR) AS _rescued_data FROM events",
+        "bronze_total_rows": "SELECT count(*) AS total_rows FROM events",
+        "bronze_per_file": "SELECT count(*) AS rows FROM events GROUP BY CAST(ts AS DATE)",
+        "landing_listing": "SELECT count(DISTINCT CAST(ts AS DATE)) AS files FROM events",
+        "bronze_rescue": """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS user_id,
+                   event_type,
+                   CASE WHEN event_type = 'error' THEN '{"user_id":"u' || CAST(user_id AS VARCHAR) || '"}'
+                        WHEN event_type = 'signup' THEN '{"extra":1}' END AS _rescued_data
+            FROM events""",
+        "bronze_evolution": f"""SELECT event_id, event_type,
+                   CASE WHEN ts < {evolve} THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS props_k
+            FROM events""",
+        "new_column_population": f"""SELECT CAST(ts AS DATE) AS day, count(*) AS rows,
+                   count(*) FILTER (WHERE ts >= {evolve}) AS with_props
+            FROM events GROUP BY CAST(ts AS DATE)""",
+        "table_changes": f"SELECT event_id, 'insert' AS _change_type FROM events WHERE ts >= {evolve}",
+        "pipeline_gold_daily_store_sales": gold_sql["gold_daily_store_sales"],
+        "pipeline_gold_top_items": gold_sql["gold_top_items"],
+        "pipeline_gold_channel_mix": gold_sql["gold_channel_mix"],
+        "pipeline_row_counts": f"""{_SILVER}
+            SELECT 'bronze_orders' AS tbl, count(*) AS rows
+              FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+            UNION ALL SELECT 'silver_order_lines', count(*) FROM silver
+            UNION ALL SELECT 'gold_daily_store_sales', count(*) FROM (SELECT DISTINCT order_date, store_id FROM silver)
+            UNION ALL SELECT 'gold_top_items', count(*) FROM (SELECT DISTINCT order_date, item_id FROM silver)
+            UNION ALL SELECT 'gold_channel_mix', count(*)
+              FROM (SELECT DISTINCT order_date, channel, payment_method FROM silver)""",
+        "event_log_expectations": f"WITH {_CTE} {per_rule}",
+        "live_channel_sales": f"""SELECT CAST(ts AS DATE) AS order_date, event_type AS channel, count(*) AS orders,
+                   {cents2.format(x='value')} AS revenue
+            FROM events GROUP BY CAST(ts AS DATE), event_type""",
+        "dimension_csv": "SELECT n_nationkey AS store_id, n_name AS store_name, n_name AS city, r_name AS region "
+                         "FROM nation LEFT JOIN region ON n_regionkey = r_regionkey",
     }

@@ -107,12 +107,15 @@ def menu_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_type").alias("category"), F.col("p_retailprice").alias("base_price"))
 
 
-def oracle_lines_cte() -> str:
-    """DuckDB text of the exploded adapter lines (before rules), for ``oracle_sql``."""
+def oracle_lines_cte(line_join: str = "JOIN") -> str:
+    """DuckDB text of the exploded adapter lines (before rules), for ``oracle_sql``.
+
+    ``line_join="LEFT JOIN"`` keeps orders without lines (``explode_outer``).
+    """
     sel = ",\n  ".join(f"{e} AS {k}" for k, e in {**ORDER_EXPRS, **LINE_EXPRS}.items()).replace("STRING", "VARCHAR")
     return f"""ev AS (
  SELECT {sel}
- FROM orders JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN customer ON c_custkey = o_custkey),
+ FROM orders {line_join} lineitem ON l_orderkey = o_orderkey LEFT JOIN customer ON c_custkey = o_custkey),
 lines AS (
  SELECT order_id, store_id, customer_id, channel, payment_method, order_ts,
         CAST(order_ts AS DATE) AS order_date, item_id, CAST(qty AS INTEGER) AS qty, unit_price,

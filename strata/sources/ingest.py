@@ -83,7 +83,7 @@ def file_stream(spark: SparkSession, source_dir: str, opts: IngestOptions) -> Da
         r = r.option(k, v)
     return r.load(source_dir).select(
         "value",
-        F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_modification_time").alias("file_modified_at"),
     )
 
