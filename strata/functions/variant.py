@@ -1,8 +1,8 @@
 """Typed projection of parsed JSON with a rescue column.
 
-Input rows carry ``_v`` (``try_parse_json(line)``, VARIANT) and ``_m`` (the
-same value as ``map<string, variant>``, NULL when the line is not a JSON
-object).  Each schema field is read with ``try_variant_get``; a value that is
+Input rows carry the raw line and ``_v`` (``try_parse_json(line)``, VARIANT,
+NULL when the line is not valid JSON).  Each schema field is read with
+``try_variant_get``; a value that is
 present but does not convert *losslessly* — at any depth, e.g. one element of
 ``items`` with ``qty: "x"`` — is kept whole in the rescue column together with
 every key the schema does not know.  Lines that are not JSON objects go to the
@@ -52,17 +52,46 @@ def typed_columns(schema: T.StructType, v: str = "_v") -> list[Column]:
             for f in schema.fields]
 
 
-def rescued_column(schema: T.StructType, raw: str = "value", v: str = "_v", m: str = "_m",
-                   rescue_unknown: bool = True) -> Column:
-    """JSON text of everything the typed columns lose; NULL when nothing is lost."""
+def _has_null(x: Column, dtype: T.DataType) -> Column:
+    """TRUE when the *typed* value ``x`` is NULL anywhere inside (cheap: no variant access)."""
+    if isinstance(dtype, T.StructType):
+        out = x.isNull()
+        for f in dtype.fields:
+            out = out | _has_null(x[f.name], f.dataType)
+        return out
+    if isinstance(dtype, T.ArrayType):
+        et = dtype.elementType
+        return x.isNull() | F.coalesce(F.exists(x, lambda e: _has_null(e, et)), F.lit(False))
+    if isinstance(dtype, T.MapType):
+        vt = dtype.valueType
+        return x.isNull() | F.coalesce(F.exists(F.map_values(x), lambda e: _has_null(e, vt)), F.lit(False))
+    return x.isNull()
+
+
+def rescued_column(schema: T.StructType, raw: str = "value", v: str = "_v", rescue_unknown: bool = True) -> Column:
+    """JSON text of everything the typed columns lose; NULL when nothing is lost.
+
+    Expects the typed columns (``typed_columns``) next to ``raw`` and ``v``.
+    The deep per-field check and the map of rescued keys are only evaluated
+    for rows that trip a cheap guard — a typed value that is NULL somewhere,
+    or a key the schema does not know — so clean rows pay almost nothing.
+    """
     names = [f.name for f in schema.fields]
     known = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
-    bad = F.array_compact(F.array(*[
-        F.when(~lossless(F.try_variant_get(F.col(v), field_path(f.name), "variant"), f.dataType), F.lit(f.name))
-        for f in schema.fields if not isinstance(f.dataType, T.StringType)] or [F.lit(None).cast("string")]))
+    checks = []
+    for f in schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            continue
+        raw_f = F.try_variant_get(F.col(v), field_path(f.name), "variant")
+        suspicious = _has_null(F.col(f.name), f.dataType)
+        checks.append(F.when(suspicious & ~lossless(raw_f, f.dataType), F.lit(f.name)))
+    bad = F.array_compact(F.array(*(checks or [F.lit(None).cast("string")])))
+    is_object = F.col(v).isNotNull() & F.ltrim(F.col(raw)).startswith("{")
     if rescue_unknown:
-        keep = F.map_filter(F.col(m), lambda k, _: ~F.array_contains(known, k) | F.array_contains(bad, k))
+        unknown = F.array_except(F.json_object_keys(F.col(raw)), known)
     else:
-        keep = F.map_filter(F.col(m), lambda k, _: F.array_contains(bad, k))
-    return (F.when(F.col(m).isNull(), F.col(raw))
-            .when(F.size(keep) > 0, F.to_json(keep)))
+        unknown = F.array().cast("array<string>")
+    lost = F.array_union(bad, unknown)
+    as_map = F.try_variant_get(F.col(v), "$", "map<string,variant>")
+    picked = F.to_json(F.map_filter(as_map, lambda k, _: F.array_contains(lost, k)))
+    return F.when(~is_object, F.col(raw)).when(F.size(lost) > 0, picked)

@@ -12,8 +12,11 @@ quality operator runs over whole tables and its work grows with them:
 * stores = nation ⋈ region, menu = part.
 
 Joins: ``orders ⋈ customer`` first (customer is a tenth of orders; broadcast
-only when its estimated size allows), then ``⋈ lineitem`` on the order key, so
-the large ``lineitem`` side is shuffled exactly once.
+only when its estimated size allows), then ``⋈ lineitem`` on the order key as
+a sort-merge join, so the large ``lineitem`` side is shuffled exactly once.
+That fact-to-fact join is never broadcastable at the target scale; on small
+inputs the planner would otherwise broadcast ``lineitem`` and run the whole
+flatten-and-validate stage in the handful of tasks that scan ``orders``.
 """
 
 from __future__ import annotations
@@ -81,7 +84,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
     oc = orders.join(broadcast_if_small(cust), F.col("o_custkey") == F.col("c_custkey"), "left")
-    ev = oc.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    ev = oc.hint("merge").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     item = F.struct(*[F.expr(e).alias(k) for k, e in LINE_EXPRS.items()])
     items = F.when(F.col("l_orderkey").isNull(), F.array().cast(ITEMS_TYPE)).otherwise(F.array(item))
     cols = [F.expr(ORDER_EXPRS[k]).alias(k) for k in

@@ -89,20 +89,22 @@ def file_stream(spark: SparkSession, source_dir: str, opts: IngestOptions) -> Da
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Add ``_v`` (VARIANT) and ``_m`` (map, NULL for non-objects); blank lines are skipped."""
-    v = F.try_parse_json("value")
-    return (lines.filter(F.trim("value") != "")
-            .select("*", v.alias("_v"))
-            .withColumn("_m", F.col("_v").try_cast("map<string,variant>")))
+    """Add ``_v`` (VARIANT, NULL when the line is not valid JSON); blank lines are skipped."""
+    return lines.filter(F.trim("value") != "").select("*", F.try_parse_json("value").alias("_v"))
+
+
+def _objects(parsed: DataFrame) -> DataFrame:
+    """Lines that are JSON objects (valid JSON starting with ``{``)."""
+    return parsed.filter(F.col("_v").isNotNull() & F.ltrim("value").startswith("{"))
 
 
 def infer_schema(spark: SparkSession, parsed: DataFrame, opts: IngestOptions, only=None) -> T.StructType:
     """Distributed inference over JSON objects (optionally only the keys in ``only``)."""
-    objs = parsed.filter(F.col("_m").isNotNull())
+    objs = _objects(parsed)
     if only is not None:
         keep = F.array(*[F.lit(k) for k in only])
-        objs = objs.select(F.map_filter("_m", lambda k, _: F.array_contains(keep, k)).alias("_m"))
-        objs = objs.select(F.to_variant_object("_m").alias("_v"))
+        m = F.try_variant_get("_v", "$", "map<string,variant>")
+        objs = objs.select(F.to_variant_object(F.map_filter(m, lambda k, _: F.array_contains(keep, k))).alias("_v"))
     t = objs.agg(F.schema_of_variant_agg("_v")).first()[0]
     schema = schema_from_variant_type(spark, t)
     if not opts.infer_column_types:
@@ -114,19 +116,24 @@ def new_top_level_keys(parsed: DataFrame, schema: T.StructType) -> list[str]:
     """Distinct keys not in ``schema`` (case-insensitive); only names reach the driver."""
     known = F.array(*[F.lit(f.name.lower()) for f in schema.fields]) if schema.fields else F.array().cast(
         "array<string>")
-    keys = (parsed.select(F.explode(F.map_keys("_m")).alias("k"))
+    keys = (_objects(parsed).select(F.explode(F.json_object_keys("value")).alias("k"))
             .filter(~F.array_contains(known, F.lower("k"))).distinct())
     return [r["k"] for r in keys.collect()]
 
 
 def project(parsed: DataFrame, schema: T.StructType, opts: IngestOptions) -> DataFrame:
-    """Typed columns, rescue column and metadata (bronze row shape)."""
-    cols = typed_columns(schema)
+    """Typed columns, rescue column and metadata (bronze row shape).
+
+    Two projections: the typed values first, then the rescue column reading
+    them (the optimizer keeps the expensive extractions computed once).
+    """
+    typed = parsed.select("value", "_v", *typed_columns(schema), "source_file", "file_modified_at")
+    cols = [F.col(f"`{f.name}`") for f in schema.fields]
     if opts.rescued_data_column:
         unknown = opts.evolution_mode != "none"
         cols.append(rescued_column(schema, rescue_unknown=unknown).alias(opts.rescued_data_column))
     cols += [F.col("source_file"), F.col("file_modified_at"), F.current_timestamp().alias("ingested_at")]
-    return parsed.select(*cols)
+    return typed.select(*cols)
 
 
 class BronzeWriter:
