@@ -46,7 +46,7 @@ def lossless(x: Column, dtype: T.DataType) -> Column:
     return _absent(x) | F.try_variant_get(x, "$", dtype.simpleString()).isNotNull()
 
 
-def typed_columns(schema: T.StructType, v: str = "_v") -> list[Column]:
+def typed_columns(schema: T.StructType, v: str) -> list[Column]:
     """One ``try_variant_get`` per schema field, named after it."""
     return [F.try_variant_get(F.col(v), field_path(f.name), f.dataType.simpleString()).alias(f.name)
             for f in schema.fields]
@@ -68,7 +68,7 @@ def _has_null(x: Column, dtype: T.DataType) -> Column:
     return x.isNull()
 
 
-def rescued_column(schema: T.StructType, raw: str = "value", v: str = "_v", rescue_unknown: bool = True) -> Column:
+def rescued_column(schema: T.StructType, raw: str, v: str, rescue_unknown: bool = True) -> Column:
     """JSON text of everything the typed columns lose; NULL when nothing is lost.
 
     Expects the typed columns (``typed_columns``) next to ``raw`` and ``v``.

@@ -37,6 +37,8 @@ from strata.sources.schema_store import SchemaStore, all_strings, apply_hints, s
 
 EVOLUTION_MODES = ("addNewColumns", "rescue", "failOnNewColumns", "none")
 META_COLUMNS = ("source_file", "file_modified_at", "ingested_at")
+# Internal column names while a batch is parsed (JSON fields may be called anything).
+LINE, VAR, SRC, MTIME = "__strata_line", "__strata_v", "__strata_src", "__strata_mtime"
 
 
 class UnknownFieldError(RuntimeError):
@@ -82,20 +84,20 @@ def file_stream(spark: SparkSession, source_dir: str, opts: IngestOptions) -> Da
     for k, v in opts.extra.items():
         r = r.option(k, v)
     return r.load(source_dir).select(
-        "value",
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_modification_time").alias("file_modified_at"),
+        F.col("value").alias(LINE),
+        F.col("_metadata.file_path").alias(SRC),
+        F.col("_metadata.file_modification_time").alias(MTIME),
     )
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Add ``_v`` (VARIANT, NULL when the line is not valid JSON); blank lines are skipped."""
-    return lines.filter(F.trim("value") != "").select("*", F.try_parse_json("value").alias("_v"))
+    return lines.filter(F.trim(LINE) != "").select("*", F.try_parse_json(LINE).alias(VAR))
 
 
 def _objects(parsed: DataFrame) -> DataFrame:
     """Lines that are JSON objects (valid JSON starting with ``{``)."""
-    return parsed.filter(F.col("_v").isNotNull() & F.ltrim("value").startswith("{"))
+    return parsed.filter(F.col(VAR).isNotNull() & F.ltrim(LINE).startswith("{"))
 
 
 def infer_schema(spark: SparkSession, parsed: DataFrame, opts: IngestOptions, only=None) -> T.StructType:
@@ -103,9 +105,9 @@ def infer_schema(spark: SparkSession, parsed: DataFrame, opts: IngestOptions, on
     objs = _objects(parsed)
     if only is not None:
         keep = F.array(*[F.lit(k) for k in only])
-        m = F.try_variant_get("_v", "$", "map<string,variant>")
-        objs = objs.select(F.to_variant_object(F.map_filter(m, lambda k, _: F.array_contains(keep, k))).alias("_v"))
-    t = objs.agg(F.schema_of_variant_agg("_v")).first()[0]
+        m = F.try_variant_get(VAR, "$", "map<string,variant>")
+        objs = objs.select(F.to_variant_object(F.map_filter(m, lambda k, _: F.array_contains(keep, k))).alias(VAR))
+    t = objs.agg(F.schema_of_variant_agg(VAR)).first()[0]
     schema = schema_from_variant_type(spark, t)
     if not opts.infer_column_types:
         schema = all_strings(schema)
@@ -116,7 +118,7 @@ def new_top_level_keys(parsed: DataFrame, schema: T.StructType) -> list[str]:
     """Distinct keys not in ``schema`` (case-insensitive); only names reach the driver."""
     known = F.array(*[F.lit(f.name.lower()) for f in schema.fields]) if schema.fields else F.array().cast(
         "array<string>")
-    keys = (_objects(parsed).select(F.explode(F.json_object_keys("value")).alias("k"))
+    keys = (_objects(parsed).select(F.explode(F.json_object_keys(LINE)).alias("k"))
             .filter(~F.array_contains(known, F.lower("k"))).distinct())
     return [r["k"] for r in keys.collect()]
 
@@ -127,12 +129,13 @@ def project(parsed: DataFrame, schema: T.StructType, opts: IngestOptions) -> Dat
     Two projections: the typed values first, then the rescue column reading
     them (the optimizer keeps the expensive extractions computed once).
     """
-    typed = parsed.select("value", "_v", *typed_columns(schema), "source_file", "file_modified_at")
+    typed = parsed.select(LINE, VAR, *typed_columns(schema, VAR), SRC, MTIME)
     cols = [F.col(f"`{f.name}`") for f in schema.fields]
     if opts.rescued_data_column:
         unknown = opts.evolution_mode != "none"
-        cols.append(rescued_column(schema, rescue_unknown=unknown).alias(opts.rescued_data_column))
-    cols += [F.col("source_file"), F.col("file_modified_at"), F.current_timestamp().alias("ingested_at")]
+        cols.append(rescued_column(schema, LINE, VAR, rescue_unknown=unknown).alias(opts.rescued_data_column))
+    cols += [F.col(SRC).alias("source_file"), F.col(MTIME).alias("file_modified_at"),
+             F.current_timestamp().alias("ingested_at")]
     return typed.select(*cols)
 
 
