@@ -84,14 +84,20 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
     oc = orders.join(broadcast_if_small(cust), F.col("o_custkey") == F.col("c_custkey"), "left")
-    ev = oc.hint("merge").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    order_cols = [F.expr(ORDER_EXPRS[k]).alias(k) for k in
+                  ("order_id", "store_id", "order_ts", "channel", "payment_method", "customer_id")]
+    tail = [F.expr(ORDER_EXPRS["order_total"]).alias("order_total"), F.expr(ORDER_EXPRS["currency"]).alias("currency")]
     item = F.struct(*[F.expr(e).alias(k) for k, e in LINE_EXPRS.items()])
-    items = F.when(F.col("l_orderkey").isNull(), F.array().cast(ITEMS_TYPE)).otherwise(F.array(item))
-    cols = [F.expr(ORDER_EXPRS[k]).alias(k) for k in
-            ("order_id", "store_id", "order_ts", "channel", "payment_method", "customer_id")]
-    cols += [items.alias("items"), F.expr(ORDER_EXPRS["order_total"]).alias("order_total"),
-             F.expr(ORDER_EXPRS["currency"]).alias("currency")]
-    return ev.select(*cols)
+    # Orders with lines: an inner join, whose hot keys AQE can split on either side.
+    with_lines = (oc.hint("merge").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+                  .select(*order_cols, F.array(item).alias("items"), *tail))
+    # Orders without lines: anti-join against the distinct line keys (map-side deduplicated,
+    # so a hot key is one row per task).  ``explode`` drops these again; the optimizer prunes
+    # this branch when nothing downstream keeps empty arrays.
+    keys = lines.select(F.col("l_orderkey")).distinct()
+    without = (oc.join(keys, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
+               .select(*order_cols, F.array().cast(ITEMS_TYPE).alias("items"), *tail))
+    return with_lines.unionByName(without)
 
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
