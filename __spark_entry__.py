@@ -283,8 +283,20 @@ def q_dimension_csv(spark, sf_dir):
     return files.read_csv_dimension(spark, f"{run}/stores")
 
 
+def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Day buckets and date casts assume a UTC session (H7); enforce it for each query."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return {k: _in_utc(v) for k, v in _QUERIES.items()}
+
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "silver_order_lines": q_silver_order_lines,
         "gold_daily_store_sales": q_gold_daily_store_sales,
         "gold_top_items": q_gold_top_items,
@@ -315,7 +327,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: gold_daily_store_sales over the sf0.001 tables."""
-    return q_gold_daily_store_sales(spark, SMOKE_DIR)
+    return queries()["gold_daily_store_sales"](spark, SMOKE_DIR)
 
 
 # ---------------------------------------------------------------- oracle SQL (DuckDB)

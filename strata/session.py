@@ -21,7 +21,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.shuffle.partitions": "8",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.forceDeleteTempCheckpointLocation": "true",
@@ -29,11 +29,19 @@ SESSION_DEFAULTS = {
 
 
 def get_session(app: str = "strata", master: str | None = None, conf: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with strata's defaults; ``conf`` overrides them."""
+    """Build (or reuse) a session with strata's defaults; ``conf`` overrides them.
+
+    Shuffle width is left to the cluster (AQE coalesces from there); only a
+    ``local[...]`` master gets a small default, sized to its cores.
+    """
     builder = SparkSession.builder.appName(app)
+    settings = dict(SESSION_DEFAULTS)
     if master:
         builder = builder.master(master)
-    for k, v in {**SESSION_DEFAULTS, **(conf or {})}.items():
+        if master.startswith("local"):
+            cores = master[len("local["):-1] if master.startswith("local[") else "1"
+            settings["spark.sql.shuffle.partitions"] = str(os.cpu_count() or 8) if cores == "*" else cores
+    for k, v in {**settings, **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -114,13 +114,24 @@ def infer_schema(spark: SparkSession, parsed: DataFrame, opts: IngestOptions, on
     return schema
 
 
-def new_top_level_keys(parsed: DataFrame, schema: T.StructType) -> list[str]:
-    """Distinct keys not in ``schema`` (case-insensitive); only names reach the driver."""
+class TooManyNewFieldsError(RuntimeError):
+    """More unseen top-level keys than ``max_new_fields``: the objects look map-like."""
+
+
+def new_top_level_keys(parsed: DataFrame, schema: T.StructType, max_new_fields: int = 10_000) -> list[str]:
+    """Distinct keys not in ``schema`` (case-insensitive); only names reach the driver.
+
+    Past ``max_new_fields`` distinct names the batch is refused (nothing is
+    dropped): such data wants a MAP-typed column via a schema hint.
+    """
     known = F.array(*[F.lit(f.name.lower()) for f in schema.fields]) if schema.fields else F.array().cast(
         "array<string>")
     keys = (_objects(parsed).select(F.explode(F.json_object_keys(LINE)).alias("k"))
             .filter(~F.array_contains(known, F.lower("k"))).distinct())
-    return [r["k"] for r in keys.collect()]
+    names = [r["k"] for r in keys.limit(max_new_fields + 1).collect()]
+    if len(names) > max_new_fields:
+        raise TooManyNewFieldsError(f"more than {max_new_fields} new top-level fields; hint a MAP column instead")
+    return names
 
 
 def project(parsed: DataFrame, schema: T.StructType, opts: IngestOptions) -> DataFrame:
