@@ -60,7 +60,8 @@ class IngestOptions:
     schema_hints: str | None = None
     evolution_mode: str = "addNewColumns"
     rescued_data_column: str | None = "_rescued_data"
-    max_files_per_trigger: int | None = None
+    # Bounds every micro-batch — and so first-batch inference — on a large backfill.
+    max_files_per_trigger: int | None = 1000
     path_glob: str | None = None
     recursive: bool = True
     max_file_age: str = "36500d"
@@ -184,11 +185,21 @@ class BronzeWriter:
                 raise UnknownFieldError(fresh, version + 1)
         return schema
 
+    def needs_prepass(self) -> bool:
+        return self.opts.schema is None or self.opts.evolution_mode in ("addNewColumns", "failOnNewColumns")
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_lines(batch)
-        schema = self.current_schema(parsed)
-        (project(parsed, schema, self.opts).write.mode("overwrite")
-         .parquet(f"{self.table_dir}/batch_id={batch_id}"))
+        # A pre-pass (inference / new-field detection) and the write both read the batch: keep
+        # its raw lines cached so storage is read once (lost blocks are recomputed from the files).
+        cached = batch.persist() if self.needs_prepass() else batch
+        try:
+            parsed = parse_lines(cached)
+            schema = self.current_schema(parsed)
+            (project(parsed, schema, self.opts).write.mode("overwrite")
+             .parquet(f"{self.table_dir}/batch_id={batch_id}"))
+        finally:
+            if cached is not batch:
+                cached.unpersist()
 
 
 def _is_unknown_field(exc: BaseException) -> bool:
@@ -251,7 +262,8 @@ def read_bronze(spark: SparkSession, table_dir: str, state_dir: str, opts: Inges
 
 
 def stream_bronze(spark: SparkSession, table_dir: str, state_dir: str, opts: IngestOptions | None = None,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+                  # Bounds every micro-batch — and so first-batch inference — on a large backfill.
+    max_files_per_trigger: int | None = 1000) -> DataFrame:
     """Streaming read of the bronze table (S16); restarts with a wider schema keep the checkpoint."""
     r = spark.readStream.schema(bronze_schema(spark, state_dir, opts))
     if max_files_per_trigger:

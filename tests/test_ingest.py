@@ -122,3 +122,4 @@ def test_max_files_per_trigger_and_old_files(spark, dirs):
     assert sorted(r.id for r in b.collect()) == [1, 2, 3]
     assert b.select("batch_id").distinct().count() == 3  # one file per micro-batch
     assert all(os.path.basename(r.source_file).endswith(".json") for r in b.collect())
+
