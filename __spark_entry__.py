@@ -18,10 +18,13 @@ from pyspark.sql import functions as F
 from strata.functions.rules import DEFAULT_RULES
 from strata.operators import gold, quality, silver
 from strata.plans import verify
+from strata.plans.event_log import EXPECTATIONS_PATH_SQL
 from strata.plans.pipeline import order_pipeline, table_changes
 from strata.session import new_run_dir
 from strata.sources import adapter, files
-from strata.sources.ingest import IngestOptions, ingest, read_bronze
+from pyspark.errors import StreamingQueryException
+
+from strata.sources.ingest import IngestOptions, UnknownFieldError, ingest, read_bronze
 from strata.streaming import live
 
 # Fixed "now" for the plausible_timestamp rule, so results do not depend on the clock.
@@ -154,24 +157,7 @@ def q_landing_listing(spark, sf_dir):
 
 def q_bronze_rescue(spark, sf_dir):
     """Fixed schema in rescue mode; mismatched types and unknown keys land in _rescued_data."""
-    key = ("bronze_rescue", sf_dir)
-    if key not in _RUNS:
-        run = new_run_dir(spark, "ingest-rescue")
-        ev = _events(spark, sf_dir)
-        fields = ["event_id", "ts", "user_id", "event_type", "value"]
-        plain = F.to_json(F.struct(*fields))
-        bad_type = F.to_json(F.struct("event_id", "ts", F.concat(F.lit("u"), F.col("user_id").cast("string"))
-                                      .alias("user_id"), "event_type", "value"))
-        extra = F.to_json(F.struct(*fields, F.lit(1).alias("extra")))
-        line = (F.when(F.col("event_type") == "error", bad_type)
-                .when(F.col("event_type") == "signup", extra).otherwise(plain))
-        ev.select(line.alias("value")).write.text(f"{run}/landing")
-        opts = IngestOptions(schema=RESCUE_SCHEMA, evolution_mode="rescue")
-        ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/state", opts)
-        _RUNS[key] = (run, opts)
-    run, opts = _RUNS[key]
-    b = read_bronze(spark, f"{run}/bronze", f"{run}/state", opts)
-    return b.select("event_id", "user_id", "event_type", "_rescued_data")
+    return _ingest_fixed(spark, sf_dir, "rescue").select("event_id", "user_id", "event_type", "_rescued_data")
 
 
 def _bronze_evolution(spark, sf_dir):
@@ -283,6 +269,87 @@ def q_dimension_csv(spark, sf_dir):
     return files.read_csv_dimension(spark, f"{run}/stores")
 
 
+def _rescue_landing(spark, sf_dir):
+    """Events as JSON text with two defects: ``user_id`` as a string on error events, an extra key on signups."""
+    key = ("rescue_landing", sf_dir)
+    if key not in _RUNS:
+        run = new_run_dir(spark, "landing-rescue")
+        ev = _events(spark, sf_dir)
+        fields = ["event_id", "ts", "user_id", "event_type", "value"]
+        plain = F.to_json(F.struct(*fields))
+        bad_type = F.to_json(F.struct("event_id", "ts", F.concat(F.lit("u"), F.col("user_id").cast("string"))
+                                      .alias("user_id"), "event_type", "value"))
+        extra = F.to_json(F.struct(*fields, F.lit(1).alias("extra")))
+        line = (F.when(F.col("event_type") == "error", bad_type)
+                .when(F.col("event_type") == "signup", extra).otherwise(plain))
+        ev.select(line.alias("value")).write.text(f"{run}/landing")
+        _RUNS[key] = f"{run}/landing"
+    return _RUNS[key]
+
+
+def _ingest_fixed(spark, sf_dir, mode):
+    key = ("ingest_fixed", mode, sf_dir)
+    if key not in _RUNS:
+        run = new_run_dir(spark, f"ingest-{mode.lower()}")
+        opts = IngestOptions(schema=RESCUE_SCHEMA, evolution_mode=mode)
+        ingest(spark, _rescue_landing(spark, sf_dir), f"{run}/bronze", f"{run}/state", opts)
+        _RUNS[key] = (run, opts)
+    run, opts = _RUNS[key]
+    return read_bronze(spark, f"{run}/bronze", f"{run}/state", opts)
+
+
+def q_bronze_none_mode(spark, sf_dir):
+    """Evolution mode none — unknown keys are ignored (not rescued); type mismatches still are."""
+    return _ingest_fixed(spark, sf_dir, "none").select("event_id", "user_id", "event_type", "_rescued_data")
+
+
+def q_bronze_fail_on_new_columns(spark, sf_dir):
+    """failOnNewColumns — the run with a new field fails and lands nothing; no schema version is added."""
+    key = ("fail_on_new", sf_dir)
+    if key not in _RUNS:
+        run = new_run_dir(spark, "ingest-failonnew")
+        ev = _events(spark, sf_dir)
+        early = F.col("ts") < F.lit(EVOLVE_AT).cast("timestamp_ntz")
+        opts = IngestOptions(schema_hints=EVENT_HINTS, evolution_mode="failOnNewColumns")
+        _land_by_day(ev.filter(early).drop("props"), f"{run}/landing/stage1")
+        ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/state", opts)
+        _land_by_day(ev.filter(~early), f"{run}/landing/stage2")
+        try:
+            ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/state", opts, retries=3)  # not retried
+            raise AssertionError("failOnNewColumns accepted a new column")
+        except StreamingQueryException as e:
+            if UnknownFieldError.MARKER not in str(e):
+                raise
+        _RUNS[key] = (run, opts)
+    run, opts = _RUNS[key]
+    return read_bronze(spark, f"{run}/bronze", f"{run}/state", opts).select("event_id", "event_type")
+
+
+def q_event_log_sql(spark, sf_dir):
+    """The reference's event-log query (LATERAL VIEW EXPLODE, JSON paths on VARIANT details)."""
+    p = _pipeline(spark, sf_dir)
+    p.log.as_view("pipeline_events", variant_details=True)
+    return (spark.sql(EXPECTATIONS_PATH_SQL).filter(F.col("status") == "COMPLETED")
+            .groupBy("expectation").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed")))
+
+
+def q_catalog_gold_channel_mix(spark, sf_dir):
+    """Pipeline tables registered in a database, read back by name."""
+    p = _pipeline(spark, sf_dir)
+    db = "strata_" + _RUNS[("pipeline", sf_dir)].rsplit("-", 1)[-1]
+    p.register(db)
+    return spark.table(f"{db}.gold_channel_mix").select(*gold.CHANNEL_MIX)
+
+
+def q_dimension_table(spark, sf_dir):
+    """A dimension CSV loaded and saved as a table (overwrite), read back by name."""
+    run = new_run_dir(spark, "dimtable")
+    adapter.stores(spark, sf_dir).write.option("header", True).csv(f"{run}/reference/stores")
+    db = "strata_" + run.rsplit("-", 1)[-1]
+    files.load_dimensions(spark, f"{run}/reference", database=db, names=("stores",), warehouse_dir=f"{run}/wh")
+    return spark.table(f"{db}.stores")
+
+
 def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Day buckets and date casts assume a UTC session (H7); enforce it for each query."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,6 +389,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "event_log_expectations": q_event_log_expectations,
         "live_channel_sales": q_live_channel_sales,
         "dimension_csv": q_dimension_csv,
+        "bronze_none_mode": q_bronze_none_mode,
+        "bronze_fail_on_new_columns": q_bronze_fail_on_new_columns,
+        "event_log_sql": q_event_log_sql,
+        "catalog_gold_channel_mix": q_catalog_gold_channel_mix,
+        "dimension_table": q_dimension_table,
     }
 
 
@@ -454,4 +526,14 @@ def oracle_sql() -> dict[str, str]:
             FROM events GROUP BY CAST(ts AS DATE), event_type""",
         "dimension_csv": "SELECT n_nationkey AS store_id, n_name AS store_name, n_name AS city, r_name AS region "
                          "FROM nation LEFT JOIN region ON n_regionkey = r_regionkey",
+        "bronze_none_mode": """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS user_id,
+                   event_type,
+                   CASE WHEN event_type = 'error' THEN '{"user_id":"u' || CAST(user_id AS VARCHAR) || '"}' END
+                     AS _rescued_data
+            FROM events""",
+        "bronze_fail_on_new_columns": f"SELECT event_id, event_type FROM events WHERE ts < {evolve}",
+        "event_log_sql": f"WITH {_CTE} {per_rule}",
+        "catalog_gold_channel_mix": gold_sql["gold_channel_mix"],
+        "dimension_table": "SELECT n_nationkey AS store_id, n_name AS store_name, n_name AS city, r_name AS region "
+                           "FROM nation LEFT JOIN region ON n_regionkey = r_regionkey",
     }

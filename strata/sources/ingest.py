@@ -211,9 +211,9 @@ def ingest(spark: SparkSession, source_dir: str, table_dir: str, state_dir: str,
            query_name: str | None = None, wait: bool = True):
     """Run the bronze stream (default ``availableNow``) and return the StreamingQuery.
 
-    ``retries`` re-runs the stream after :class:`UnknownFieldError` only (the
-    "fail once, succeed on retry" contract of ``addNewColumns``); any other
-    error propagates.  With ``wait=False`` the started query is returned.
+    ``retries`` re-runs the stream after :class:`UnknownFieldError` in
+    ``addNewColumns`` mode only (its "fail once, succeed on retry" contract);
+    any other error propagates.  With ``wait=False`` the started query is returned.
     """
     opts = opts or IngestOptions()
     trigger = trigger or {"availableNow": True}
@@ -233,7 +233,7 @@ def ingest(spark: SparkSession, source_dir: str, table_dir: str, state_dir: str,
             q.awaitTermination()
             return q
         except StreamingQueryException as e:
-            if attempt < retries and _is_unknown_field(e):
+            if attempt < retries and opts.evolution_mode == "addNewColumns" and _is_unknown_field(e):
                 attempt += 1
                 time.sleep(0.1)
                 continue
