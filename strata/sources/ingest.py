@@ -92,7 +92,7 @@ def file_stream(spark: SparkSession, source_dir: str, opts: IngestOptions) -> Da
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Add ``_v`` (VARIANT, NULL when the line is not valid JSON); blank lines are skipped."""
+    """Add the parsed line (VARIANT, NULL when it is not valid JSON); blank lines are skipped."""
     return lines.filter(F.trim(LINE) != "").select("*", F.try_parse_json(LINE).alias(VAR))
 
 
@@ -158,8 +158,7 @@ class BronzeWriter:
         self.spark, self.table_dir, self.opts = spark, table_dir.rstrip("/"), opts
         self.store = SchemaStore(spark, state_dir)
 
-    def current_schema(self, parsed: DataFrame) -> T.StructType:
-        latest = self.store.latest()
+    def current_schema(self, parsed: DataFrame, latest) -> T.StructType:
         if latest is not None:
             version, schema = latest
         elif self.opts.schema is not None:
@@ -185,16 +184,19 @@ class BronzeWriter:
                 raise UnknownFieldError(fresh, version + 1)
         return schema
 
-    def needs_prepass(self) -> bool:
-        return self.opts.schema is None or self.opts.evolution_mode in ("addNewColumns", "failOnNewColumns")
+    def needs_prepass(self, latest) -> bool:
+        """Inference (first batch, no fixed schema) or new-field detection reads the batch before the write."""
+        first = latest is None and self.opts.schema is None
+        return first or self.opts.evolution_mode in ("addNewColumns", "failOnNewColumns")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        # A pre-pass (inference / new-field detection) and the write both read the batch: keep
-        # its raw lines cached so storage is read once (lost blocks are recomputed from the files).
-        cached = batch.persist() if self.needs_prepass() else batch
+        latest = self.store.latest()
+        # A pre-pass and the write both read the batch: keep its raw lines cached so storage
+        # is read once (blocks lost with an executor are recomputed from the files).
+        cached = batch.persist() if self.needs_prepass(latest) else batch
         try:
             parsed = parse_lines(cached)
-            schema = self.current_schema(parsed)
+            schema = self.current_schema(parsed, latest)
             (project(parsed, schema, self.opts).write.mode("overwrite")
              .parquet(f"{self.table_dir}/batch_id={batch_id}"))
         finally:
