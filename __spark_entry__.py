@@ -112,12 +112,15 @@ def _events(spark, sf_dir):
 
 
 def _land_by_day(df, path):
-    """NDJSON, exactly one file per day (hash-partition by day, then partitionBy)."""
+    """NDJSON in one folder per day (``day=YYYY-MM-DD``); no shuffle, so a hot day is still written in parallel."""
     day = F.to_date("ts")
-    (df.withColumn("day", day).repartition("day").write.partitionBy("day")
+    (df.withColumn("day", day).write.partitionBy("day")
      .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path))
 
 
+_DAY_OF_PATH = r"day=([0-9]{4}-[0-9]{2}-[0-9]{2})"
+
+
 def _bronze_events(spark, sf_dir):
     key = ("bronze_events", sf_dir)
     if key not in _RUNS:
@@ -144,15 +147,18 @@ def q_bronze_total_rows(spark, sf_dir):
 
 
 def q_bronze_per_file(spark, sf_dir):
-    """V1: rows per landed file (one file per day)."""
+    """V1: rows per landed file, rolled up to the day folder each file landed in."""
     b, _ = _bronze_events(spark, sf_dir)
-    return verify.per_file(b).select("rows")
+    per_file = verify.per_file(b)
+    return (per_file.groupBy(F.regexp_extract("source_file", _DAY_OF_PATH, 1).cast("date").alias("day"))
+            .agg(F.sum("rows").alias("rows")))
 
 
 def q_landing_listing(spark, sf_dir):
-    """Files in the landing zone (listing only, contents not read)."""
+    """Landing-zone listing (contents not read): day folders holding JSON files."""
     _, run = _bronze_events(spark, sf_dir)
-    return files.list_files(spark, f"{run}/landing", "*.json").agg(F.count(F.lit(1)).alias("files"))
+    listing = files.list_files(spark, f"{run}/landing", "*.json")
+    return listing.agg(F.count_distinct(F.regexp_extract("path", _DAY_OF_PATH, 1)).alias("day_folders"))
 
 
 def q_bronze_rescue(spark, sf_dir):
@@ -495,8 +501,8 @@ def oracle_sql() -> dict[str, str]:
         "bronze_events": "SELECT event_id, ts, user_id, event_type, value, props, "
                          "CAST(NULL AS VARCHAR) AS _rescued_data FROM events",
         "bronze_total_rows": "SELECT count(*) AS total_rows FROM events",
-        "bronze_per_file": "SELECT count(*) AS rows FROM events GROUP BY CAST(ts AS DATE)",
-        "landing_listing": "SELECT count(DISTINCT CAST(ts AS DATE)) AS files FROM events",
+        "bronze_per_file": "SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY CAST(ts AS DATE)",
+        "landing_listing": "SELECT count(DISTINCT CAST(ts AS DATE)) AS day_folders FROM events",
         "bronze_rescue": """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS user_id,
                    event_type,
                    CASE WHEN event_type = 'error' THEN '{"user_id":"u' || CAST(user_id AS VARCHAR) || '"}'

@@ -157,6 +157,16 @@ class BronzeWriter:
     def __init__(self, spark: SparkSession, table_dir: str, state_dir: str, opts: IngestOptions):
         self.spark, self.table_dir, self.opts = spark, table_dir.rstrip("/"), opts
         self.store = SchemaStore(spark, state_dir)
+        self._latest = None  # read once per run: the running stream is the store's only writer
+
+    def _write_version(self, version: int, schema: T.StructType) -> None:
+        self.store.write(version, schema)
+        self._latest = (version, schema)
+
+    def latest(self):
+        if self._latest is None:
+            self._latest = self.store.latest()
+        return self._latest
 
     def current_schema(self, parsed: DataFrame, latest) -> T.StructType:
         if latest is not None:
@@ -165,11 +175,11 @@ class BronzeWriter:
             schema = self.opts.schema if isinstance(self.opts.schema, T.StructType) else \
                 self.spark.createDataFrame([], self.opts.schema).schema
             schema = apply_hints(self.spark, schema, self.opts.schema_hints)
-            self.store.write(0, schema)
+            self._write_version(0, schema)
             return schema
         else:
             schema = apply_hints(self.spark, infer_schema(self.spark, parsed, self.opts), self.opts.schema_hints)
-            self.store.write(0, schema)
+            self._write_version(0, schema)
             return schema
         mode = self.opts.evolution_mode
         if mode in ("addNewColumns", "failOnNewColumns"):
@@ -180,7 +190,7 @@ class BronzeWriter:
                 added = infer_schema(self.spark, parsed, self.opts, only=fresh)
                 added = apply_hints(self.spark, added, None)
                 hinted = apply_hints(self.spark, T.StructType(schema.fields + added.fields), self.opts.schema_hints)
-                self.store.write(version + 1, hinted)
+                self._write_version(version + 1, hinted)
                 raise UnknownFieldError(fresh, version + 1)
         return schema
 
@@ -190,7 +200,7 @@ class BronzeWriter:
         return first or self.opts.evolution_mode in ("addNewColumns", "failOnNewColumns")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        latest = self.store.latest()
+        latest = self.latest()
         # A pre-pass and the write both read the batch: keep its raw lines cached so storage
         # is read once (blocks lost with an executor are recomputed from the files).
         cached = batch.persist() if self.needs_prepass(latest) else batch
