@@ -18,7 +18,8 @@ def load_dimensions(spark: SparkSession, reference_dir: str, database: str | Non
     for name in names:
         df = read_csv_dimension(spark, f"{reference_dir.rstrip('/')}/{name}")
         if database:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+            where = f" LOCATION '{warehouse_dir.rstrip('/')}/{database}.db'" if warehouse_dir else ""
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
             w = df.write.mode("overwrite").format("parquet")
             if warehouse_dir:
                 w = w.option("path", f"{warehouse_dir.rstrip('/')}/{name}")
