@@ -268,6 +268,23 @@ def q_live_channel_sales(spark, sf_dir):
     return spark.read.parquet(f"{_RUNS[key]}/live").withColumnRenamed("event_type", "channel")
 
 
+def q_live_channel_sales_append(spark, sf_dir):
+    """Append mode — the watermark finalizes and evicts windows; future rows are filtered first."""
+    key = ("live_append", sf_dir)
+    if key not in _RUNS:
+        run = new_run_dir(spark, "live-append")
+        src = _events(spark, sf_dir)
+        stream = (spark.readStream.schema(src.schema).option("pathGlobFilter", "events.parquet")
+                  .parquet(sf_dir))
+        agg = live.daily_window_agg(stream, ts_col="ts", keys=("event_type",), amount_col="value",
+                                    drop_future=True, as_of=AS_OF)
+        q = live.start(agg, name=f"live_append_{run.rsplit('-', 1)[-1]}", checkpoint=f"{run}/checkpoint",
+                       sink="parquet", path=f"{run}/live", output_mode="append", trigger={"availableNow": True})
+        q.awaitTermination()
+        _RUNS[key] = run
+    return spark.read.parquet(f"{_RUNS[key]}/live").withColumnRenamed("event_type", "channel")
+
+
 def q_dimension_csv(spark, sf_dir):
     """A dimension written as header CSV and read back with inferred types."""
     run = new_run_dir(spark, "dims")
@@ -400,6 +417,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "event_log_sql": q_event_log_sql,
         "catalog_gold_channel_mix": q_catalog_gold_channel_mix,
         "dimension_table": q_dimension_table,
+        "live_channel_sales_append": q_live_channel_sales_append,
     }
 
 
@@ -542,4 +560,12 @@ def oracle_sql() -> dict[str, str]:
         "catalog_gold_channel_mix": gold_sql["gold_channel_mix"],
         "dimension_table": "SELECT n_nationkey AS store_id, n_name AS store_name, n_name AS city, r_name AS region "
                            "FROM nation LEFT JOIN region ON n_regionkey = r_regionkey",
+        # append mode emits a day once the watermark (max event time - 1 day) has passed its end
+        "live_channel_sales_append": f"""SELECT CAST(ts AS DATE) AS order_date, event_type AS channel,
+                   count(*) AS orders, {cents2.format(x='value')} AS revenue
+            FROM events
+            WHERE ts <= TIMESTAMP '{AS_OF}'
+            GROUP BY CAST(ts AS DATE), event_type
+            HAVING CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY
+                   <= (SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '{AS_OF}') - INTERVAL 1 DAY""",
     }
