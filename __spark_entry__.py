@@ -231,10 +231,12 @@ def q_pipeline_gold_daily_store_sales(spark, sf_dir):
 
 
 def q_pipeline_gold_top_items(spark, sf_dir):
+    """The pipeline's gold_top_items (same run as above)."""
     return _pipeline(spark, sf_dir).table("gold_top_items")
 
 
 def q_pipeline_gold_channel_mix(spark, sf_dir):
+    """The pipeline's gold_channel_mix, incl. UNKNOWN channel and year-2099 rows."""
     return _pipeline(spark, sf_dir).table("gold_channel_mix")
 
 
@@ -253,7 +255,7 @@ def q_event_log_expectations(spark, sf_dir):
 
 # ---------------------------------------------------------------- live stream
 def q_live_channel_sales(spark, sf_dir):
-    """Watermarked 1-day windows per event type over the events stream."""
+    """Watermarked 1-day windows per event type, complete mode, shared-storage sink."""
     key = ("live", sf_dir)
     if key not in _RUNS:
         run = new_run_dir(spark, "live")
