@@ -12,15 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# The estimate is mostly compressed on-disk size; the broadcast hash table is several times larger.
+DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` in bytes, or None when unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()  # py4j: Scala BigInt -> int
     except Exception:  # noqa: BLE001 - e.g. Spark Connect: no JVM handle
         return None
+    return int(size) if isinstance(size, int) else int(str(size))
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
