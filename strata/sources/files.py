@@ -13,10 +13,11 @@ def read_csv_dimension(spark: SparkSession, path: str) -> DataFrame:
 
 def load_dimensions(spark: SparkSession, reference_dir: str, database: str | None = None,
                     names=("stores", "menu_items"), warehouse_dir: str | None = None) -> dict[str, DataFrame]:
-    """Read each ``<reference_dir>/<name>`` CSV; with ``database``, overwrite it as a Parquet table (K5)."""
+    """Read each ``<reference_dir>/<name>.csv`` (a file, or a folder of part files named ``<name>``);
+    with ``database``, overwrite it as a Parquet table (K5)."""
     out = {}
     for name in names:
-        df = read_csv_dimension(spark, f"{reference_dir.rstrip('/')}/{name}")
+        df = read_csv_dimension(spark, f"{reference_dir.rstrip('/')}/{{{name},{name}.csv}}")
         if database:
             where = f" LOCATION '{warehouse_dir.rstrip('/')}/{database}.db'" if warehouse_dir else ""
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
