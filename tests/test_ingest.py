@@ -59,7 +59,7 @@ def test_staged_batches_fail_once_then_exactly_once(spark, dirs):
 def test_rescue_edge_cases(spark, dirs):
     lines = [
         json.dumps({"order_id": "A", "order_total": 10.5, "items": [{"item_id": "I", "qty": 1}]}),
-        "{bad", "[1,2]", "3",
+        "{bad", "[1,2]", "3", '{"order_id": "X", "order_id": "Y"}',
         json.dumps({"order_id": "B", "order_total": "abc", "items": [{"item_id": "I", "qty": 2}]}),
         json.dumps({"order_id": "C", "order_total": "10.5", "items": [{"item_id": "I", "qty": "x"}]}),
         json.dumps({"order_id": "D", "order_total": 1.0, "items": [], "surprise": {"a": 1}}),
@@ -70,8 +70,8 @@ def test_rescue_edge_cases(spark, dirs):
     opts = IngestOptions(schema=schema, evolution_mode="rescue")
     run(spark, dirs, opts)
     got = {r.order_id or r._rescued_data: r for r in bronze(spark, dirs, opts).collect()}
-    assert len(got) == 7  # the blank line is skipped
-    for raw in ("{bad", "[1,2]", "3"):
+    assert len(got) == 8  # the blank line is skipped
+    for raw in ("{bad", "[1,2]", "3", '{"order_id": "X", "order_id": "Y"}'):  # duplicate keys: not parsed
         assert got[raw]._rescued_data == raw and got[raw].order_id is None  # whole line kept
     assert got["A"]._rescued_data is None and got["A"].order_total == 10.5
     assert got["B"].order_total is None and json.loads(got["B"]._rescued_data) == {"order_total": "abc"}
