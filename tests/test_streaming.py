@@ -47,6 +47,9 @@ def test_complete_mode_equals_batch(spark, dirs):
         F.count("*").alias("n"), cents_to_amount(F.sum(cents("order_total"))).alias("r"))
     assert got == {(str(r.d), r.channel): (r.n, r.r) for r in exp.collect()}
     assert ("2099-01-01", "KIOSK") in got  # complete mode never drops late rows (D4)
+    from strata.plans.verify import live_readout
+    out = [(str(r.order_date), r.revenue) for r in live_readout(spark.table("live_complete")).collect()]
+    assert out[0][0] == "2099-01-01" and [d for d, _ in out] == sorted((d for d, _ in out), reverse=True)
     assert len(q.recentProgress) == 4
     pf = live.progress_frame(spark, q)
     assert pf.count() == 4 and set(pf.columns) >= {"input_rows_per_second", "processed_rows_per_second",
