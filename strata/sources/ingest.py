@@ -54,7 +54,7 @@ class UnknownFieldError(RuntimeError):
 
 @dataclass
 class IngestOptions:
-    """Options of the file source (cloudFiles.* equivalents)."""
+    """Options of the incremental file source."""
 
     infer_column_types: bool = True
     schema_hints: str | None = None
