@@ -57,5 +57,5 @@ DEFAULT_RULES = (
 
 
 def rules_from_dict(rules: dict[str, str], action: str = "warn") -> list[Expectation]:
-    """``expect_all`` / ``expect_all_or_drop`` style: ``{name: predicate}`` → rules."""
+    """A dict of rules sharing one action, ``{name: predicate}`` → rules."""
     return [Expectation(k, v, action) for k, v in rules.items()]
