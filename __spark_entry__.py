@@ -207,16 +207,15 @@ def _pipeline(spark, sf_dir):
     key = ("pipeline", sf_dir)
     if key not in _RUNS:
         run = new_run_dir(spark, "pipeline")
-        events = adapter.order_events(spark, sf_dir)
         last_day = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").agg(
             F.max(F.to_date("o_orderdate"))).first()[0]
-        early = F.to_date("order_ts") < F.lit(last_day)
-        _RUNS[key] = run
+        early = adapter.order_date_expr() < F.lit(last_day)  # order-level: filters before the joins
         p = _order_pipeline(spark, sf_dir, run)
-        events.filter(early).write.json(f"{run}/landing/stage1")
+        adapter.order_events(spark, sf_dir, early).write.json(f"{run}/landing/stage1")
         p.run_update()
-        events.filter(~early).write.json(f"{run}/landing/stage2")
+        adapter.order_events(spark, sf_dir, ~early).write.json(f"{run}/landing/stage2")
         p.run_update()  # second update: gold views refresh only the dates that changed
+        _RUNS[key] = run
     return _order_pipeline(spark, sf_dir, _RUNS[key])
 
 

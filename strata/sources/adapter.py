@@ -76,10 +76,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested order events (the bronze shape) derived from orders, customer and lineitem."""
+def order_events(spark: SparkSession, sf_dir: str, orders_where=None) -> DataFrame:
+    """Nested order events (the bronze shape) derived from orders, customer and lineitem.
+
+    ``orders_where`` (a Column over ``orders``) restricts the orders *before*
+    the joins, so a subset of events never pays for the full join.
+    """
     orders = _read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    if orders_where is not None:
+        orders = orders.filter(orders_where)
     cust = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     lines = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
@@ -130,3 +136,8 @@ lines AS (
         CAST(order_ts AS DATE) AS order_date, item_id, CAST(qty AS INTEGER) AS qty, unit_price,
         qty * unit_price AS line_amount, CAST(order_total AS DOUBLE) AS order_total, currency
  FROM ev)"""
+
+
+def order_date_expr():
+    """``order_date`` of an event as an expression over ``orders`` columns (incl. the 2099 defect)."""
+    return F.to_date(F.expr(ORDER_EXPRS["order_ts"]))
