@@ -66,6 +66,18 @@ def start(agg: DataFrame, *, name: str, checkpoint: str, sink: str = "memory", p
     return w.foreachBatch(write).start()
 
 
+def live_channel_sales(spark: SparkSession, bronze_dir: str, bronze_state: str, checkpoint: str, *,
+                       name: str = "live_channel_sales", trigger: dict | None = None, output_mode: str = "complete",
+                       drop_future: bool = False, as_of: str | None = None) -> StreamingQuery:
+    """The reference's continuous read-out: bronze stream, one file per micro-batch, 1-day windows per
+    channel, complete mode, 10-second trigger, queryable as the in-memory table ``name``."""
+    from strata.sources.ingest import stream_bronze  # local import: streaming does not need ingest otherwise
+
+    stream = stream_bronze(spark, bronze_dir, bronze_state, max_files_per_trigger=1)
+    agg = daily_window_agg(stream, drop_future=drop_future, as_of=as_of)
+    return start(agg, name=name, checkpoint=checkpoint, output_mode=output_mode, trigger=trigger)
+
+
 def stop_all(spark: SparkSession) -> list[str]:
     """Stop every active stream of the session; returns their names."""
     names = []

@@ -84,3 +84,14 @@ def test_parquet_sink_continuous_trigger_and_stop_all(spark, dirs):
     assert spark.read.parquet(dirs["out"] + "/table").agg(F.sum("orders")).first()[0] == 5
     assert "live_parquet" in live.stop_all(spark)
     assert not spark.streams.active
+
+
+def test_reference_live_channel_sales_wiring(spark, dirs):
+    _SPARK["s"] = spark
+    land_three(dirs)
+    q = live.live_channel_sales(spark, dirs["bronze"], dirs["state"], dirs["out"] + "/cp",
+                                trigger={"availableNow": True})
+    q.awaitTermination()
+    rows = spark.sql("SELECT order_date, channel, orders, revenue FROM live_channel_sales "
+                     "ORDER BY order_date DESC, revenue DESC").collect()
+    assert sum(r.orders for r in rows) == 5 and len(q.recentProgress) == 4  # one file per micro-batch
