@@ -5,7 +5,9 @@ schema (one ``value`` line plus file metadata) never changes, so the
 checkpoint stays valid however the JSON evolves; all schema work happens per
 micro-batch in ``foreachBatch``:
 
-1. parse every line once: ``try_parse_json`` → VARIANT, ``try_cast`` → map;
+1. parse every line with ``try_parse_json`` → VARIANT (NULL for invalid
+   JSON); a batch is at most ``maxFilesPerTrigger`` (1000) files, and its raw
+   lines are cached while a pre-pass (steps 2–3) needs them;
 2. first batch: infer the schema with the distributed ``schema_of_variant_agg``
    aggregate, apply hints, store it as version 0;
 3. later batches, in ``addNewColumns`` / ``failOnNewColumns`` mode: one
@@ -13,7 +15,8 @@ micro-batch in ``foreachBatch``:
    only, never rows); ``addNewColumns`` infers their types, stores version
    n+1 and raises :class:`UnknownFieldError`, so the batch commits nothing and
    is replayed — with the wider schema — on the next run;
-4. project with ``try_variant_get`` and build ``_rescued_data``;
+4. project with ``try_variant_get`` and build ``_rescued_data`` (lazily: the
+   deep per-field check only runs for rows that trip a cheap guard);
 5. overwrite ``<table>/batch_id=<id>``: a replayed batch replaces its own
    directory, so a retry after any failure leaves no duplicates.
 
