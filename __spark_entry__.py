@@ -221,7 +221,7 @@ def _pipeline(spark, sf_dir):
 
 def _order_pipeline(spark, sf_dir, run):
     return order_pipeline(spark, f"{run}/pipe", f"{run}/landing", adapter.stores(spark, sf_dir),
-                          adapter.menu_items(spark, sf_dir), as_of=AS_OF)
+                          adapter.menu_items(spark, sf_dir), as_of=AS_OF, quarantine=True)
 
 
 def q_pipeline_gold_daily_store_sales(spark, sf_dir):
@@ -239,10 +239,16 @@ def q_pipeline_gold_channel_mix(spark, sf_dir):
     return _pipeline(spark, sf_dir).table("gold_channel_mix")
 
 
+def q_pipeline_quarantine(spark, sf_dir):
+    """E8 in the stream: the silver flow's quarantine side table (lines failing a drop rule)."""
+    q = _pipeline(spark, sf_dir).table("silver_quarantine")
+    return q.select("order_id", "item_id", "qty", "store_id", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
 def q_pipeline_row_counts(spark, sf_dir):
     """Row counts of the five pipeline tables."""
     p = _pipeline(spark, sf_dir)
-    return verify.row_counts({n: p.table(n) for n in p.order()})
+    return verify.row_counts({n: p.table(n) for n in p.order() if n != "silver_quarantine"})
 
 
 def q_event_log_expectations(spark, sf_dir):
@@ -419,6 +425,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "catalog_gold_channel_mix": q_catalog_gold_channel_mix,
         "dimension_table": q_dimension_table,
         "live_channel_sales_append": q_live_channel_sales_append,
+        "pipeline_quarantine": q_pipeline_quarantine,
     }
 
 
@@ -561,6 +568,9 @@ def oracle_sql() -> dict[str, str]:
         "catalog_gold_channel_mix": gold_sql["gold_channel_mix"],
         "dimension_table": "SELECT n_nationkey AS store_id, n_name AS store_name, n_name AS city, r_name AS region "
                            "FROM nation LEFT JOIN region ON n_regionkey = r_regionkey",
+        "pipeline_quarantine": f"""WITH {_CTE}
+            SELECT order_id, item_id, qty, store_id, concat_ws(',', {fails}) AS failed_rules
+            FROM lines WHERE NOT ({keep})""",
         # append mode emits a day once the watermark (max event time - 1 day) has passed its end
         "live_channel_sales_append": f"""SELECT CAST(ts AS DATE) AS order_date, event_type AS channel,
                    count(*) AS orders, {cents2.format(x='value')} AS revenue
