@@ -89,10 +89,8 @@ def q_order_lines_outer(spark, sf_dir):
 
 
 def q_gold_daily_store_sales_sql(spark, sf_dir):
-    """The SQL variant of the gold view (K8 temp views + SQL text, J1, A4, A6)."""
-    _silver(spark, sf_dir).createOrReplaceTempView("silver_order_lines")
-    adapter.stores(spark, sf_dir).createOrReplaceTempView("stores")
-    return spark.sql(gold.SQL_VIEWS["gold_daily_store_sales"])
+    """The SQL variant of the gold view (K8 DataFrame-bound views + SQL text, J1, A4, A6)."""
+    return gold.sql_view(spark, "gold_daily_store_sales", _silver(spark, sf_dir), adapter.stores(spark, sf_dir))
 
 
 def q_store_league(spark, sf_dir):
