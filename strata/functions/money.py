@@ -19,8 +19,9 @@ def _col(c) -> Column:
 
 
 def cents(amount) -> Column:
-    """Amount (double) → whole cents (bigint), half away from zero."""
-    return F.round(_col(amount) * F.lit(100)).cast("bigint")
+    """Amount (double) → whole cents (bigint), half away from zero; NULL for NaN/±Infinity
+    (``try_cast``: one non-finite amount must not abort an ANSI-mode job)."""
+    return F.round(_col(amount) * F.lit(100)).try_cast("bigint")
 
 
 def cents_to_amount(total_cents) -> Column:

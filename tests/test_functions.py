@@ -9,6 +9,11 @@ def test_cents_absorb_binary_noise(spark):
     assert [r[0] for r in df.select(cents("x")).collect()] == [3690, 30, -501]
 
 
+def test_non_finite_amounts_become_null(spark):
+    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (1.25,)], "x double")
+    assert [r[0] for r in df.select(cents("x")).collect()] == [None, None, 125]
+
+
 def test_ratio_rounded_half_away_from_zero(spark):
     rows = [(1, 8), (5, 2), (-5, 2), (2, 3), (7, 0), (None, 3)]
     df = spark.createDataFrame(rows, "c bigint, n bigint")
