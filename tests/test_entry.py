@@ -26,3 +26,23 @@ def test_gold_query_against_duckdb_at_smallest_scale(spark):
         a = sorted(tuple(r[c] for c in sorted(df.columns)) for r in df.collect())
         b = sorted(tuple(r[cols.index(c)] for c in sorted(cols)) for r in res.fetchall())
         assert a == b, name
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plan_shapes_hold(spark):
+    """Guards the scale decisions reviewed in PLANS.md."""
+    sf = E.SMOKE_DIR
+    silver_plan = _plan(E.queries()["silver_order_lines"](spark, sf))
+    assert "SortMergeJoin" in silver_plan  # the fact join is never a broadcast of lineitem
+    assert "CollectMetrics" in silver_plan and "Generate" in silver_plan
+    assert "LeftAnti" not in silver_plan  # the empty-orders branch is pruned when explode drops them
+    top = _plan(E.queries()["top_items_report"](spark, sf))
+    assert "TakeOrderedAndProject" in top
+    gold_plan = E.queries()["gold_daily_store_sales"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    # printed top-down: the outermost join is the dimension join, and its fact side aggregates
+    # before any other join (the adapter's) appears — i.e. the join runs on the aggregate
+    outer = gold_plan.index("Join LeftOuter")
+    assert gold_plan.index("Aggregate", outer) < gold_plan.index("Join", outer + 1)
