@@ -10,6 +10,8 @@ folder of the session's state root, never into ``sf_dir``.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -386,8 +388,23 @@ def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return run
 
 
+def _training_data():
+    """The training-data operators and pipeline, or nothing where ``strata/llm`` has been taken out."""
+    for name in ("strata.llm", "corpus_pipeline"):
+        spec = importlib.util.find_spec(name)
+        if spec is None or spec.origin is None:  # absent, or an empty leftover folder
+            return {}, {}
+    module = importlib.import_module("strata.llm.queries")
+    pipeline = importlib.import_module("corpus_pipeline")
+    sql = dict(module.oracle_sql())
+    if pipeline.ORACLE_SQL:
+        sql["pipeline"] = pipeline.ORACLE_SQL
+    return {**module.queries(), "pipeline": pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _in_utc(v) for k, v in _QUERIES.items()}
+    own = {k: _in_utc(v) for k, v in _QUERIES.items()}
+    return {**own, **_training_data()[0]}
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -500,7 +517,7 @@ def oracle_sql() -> dict[str, str]:
         f"CAST(count(*) FILTER (WHERE NOT COALESCE({p}, false)) AS BIGINT) AS failed FROM lines"
         for n, a, p in _RULE_SQL)
     evolve = f"TIMESTAMP '{EVOLVE_AT}'"
-    return {
+    return _training_data()[1] | {
         "silver_order_lines": f"{_SILVER} SELECT * FROM silver",
         **gold_sql,
         "expectation_counts": f"WITH {_CTE} {report}",
