@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import functools
+import os
+import tempfile
+import zipfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +20,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Hands this package to the Python workers, once per context, so that they need no path of their own to it."""
+    context = spark.sparkContext
+    if getattr(context, "_strata_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = f"{tempfile.mkdtemp(prefix='strata-code-')}/strata.zip"  # Spark copies it to every executor
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = f"{folder}/{name}"
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._strata_shipped = True
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` whose function may use this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

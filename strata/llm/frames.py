@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import stored
+from strata.llm.common import map_arrow, stored
 from strata.llm.encode import encoder
 
 INDEX_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1  # fixed values of the format
@@ -188,7 +188,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int | None = 1, i
         if file:
             yield done()
 
-    return stored(ordered.mapInArrow(put, MANIFEST), "manifest")
+    return stored(map_arrow(ordered, put, MANIFEST), "manifest")
 
 
 def read(spark: SparkSession, manifest: DataFrame, wanted: DataFrame | None = None, keep_ids: bool = True) -> DataFrame:
@@ -221,4 +221,4 @@ def read(spark: SparkSession, manifest: DataFrame, wanted: DataFrame | None = No
                     yield pa.RecordBatch.from_arrays([pa.array(c, f[1]) for c, f in zip(zip(*rows), fields)],
                                                      names=[f[0] for f in fields])
 
-    return files.select("path", "base").mapInArrow(get, schema)
+    return map_arrow(files.select("path", "base"), get, schema)

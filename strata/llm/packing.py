@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import arrow_schema, stored
+from strata.llm.common import arrow_schema, map_arrow, stored
 from strata.llm.encode import encoder
 
 
@@ -68,7 +68,7 @@ def pieces(docs: DataFrame, vocabulary: str, max_tokens: int = 1024, end_id: int
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    return source.mapInArrow(cut, schema)
+    return map_arrow(source, cut, schema)
 
 
 # ------------------------------------------------------------------ plan
@@ -212,7 +212,7 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
                     [*(batch.column(c) for c in names), pa.array(sequence), pa.array(offset)],
                     names=[*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(assign, schema)
+    return map_arrow(ranked, assign, schema)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id",

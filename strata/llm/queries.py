@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import frames, packing
+from strata.llm import exact, frames, lines, packing
 from strata.llm.common import table, vocabulary_path
 from strata.session import new_run_dir
 
@@ -22,9 +22,42 @@ def op5_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.read(spark, manifest, keep_ids=False)
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return lines.line_dedup(docs, host_col="source", ratio=0.05, min_pages=10, report=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op5_token_frames)}
+    return {f.__name__: f for f in (
+        op1_best_fit_packing, op5_token_frames, op7_exact_dedup, op8_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_exact_dedup": r"""
+            SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+                   doc_id = min(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
+            FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+            WINDOW same AS (PARTITION BY norm)""",
+        "op8_line_dedup": r"""
+            WITH page AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS parts FROM documents),
+            site AS (SELECT source, count(*) AS pages FROM page WHERE source IS NOT NULL GROUP BY source),
+            seen AS (SELECT source, unnest(list_distinct(parts)) AS line FROM page WHERE source IS NOT NULL),
+            common AS (SELECT source, line, count(*) AS n FROM seen
+                       WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY source, line),
+            gone AS (SELECT source, list(line) AS dropped FROM common JOIN site USING (source)
+                     WHERE n >= 10 AND n > 0.05 * pages GROUP BY source),
+            kept AS (SELECT doc_id, page.source, text, parts,
+                            list_filter(parts, lambda x: NOT list_contains(dropped, x)) AS rest, dropped
+                     FROM page LEFT JOIN gone ON page.source = gone.source)
+            SELECT doc_id, source, CASE WHEN dropped IS NULL OR text IS NULL THEN text
+                        ELSE array_to_string(rest, chr(10)) END AS text,
+                   CAST(coalesce(len(parts), 0) AS INTEGER) AS n_lines,
+                   CAST(CASE WHEN dropped IS NULL OR text IS NULL THEN 0 ELSE len(parts) - len(rest) END AS INTEGER)
+                     AS n_dropped
+            FROM kept""",
+    }
