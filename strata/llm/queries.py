@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import exact, frames, lines, packing
+from strata.llm import exact, frames, lines, packing, simhash
 from strata.llm.common import table, vocabulary_path
 from strata.session import new_run_dir
 
@@ -16,6 +16,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   capacity=1024, end_id=2)
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4, blocks=7)
+
+
 def op5_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = frames.write(table(spark, sf_dir, "documents"), f"{new_run_dir(spark, 'token-frames')}/ids",
                             vocabulary_path("word_bpe_49k.json"), end_id=1)
@@ -33,7 +37,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_best_fit_packing, op5_token_frames, op7_exact_dedup, op8_line_dedup)}
+        op1_best_fit_packing, op3_simhash_near_dedup, op5_token_frames, op7_exact_dedup, op8_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
