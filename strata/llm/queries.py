@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import exact, frames, lines, packing, simhash
+from strata.llm import exact, frames, lines, packing, secrets, simhash
 from strata.llm.common import table, vocabulary_path
 from strata.session import new_run_dir
 
@@ -35,9 +36,24 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(docs, host_col="source", ratio=0.05, min_pages=10, report=True)
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(secrets.labelled_sample(docs)))
+    spans = F.col("secret_spans")
+    base = F.filter(spans, lambda s: s["kind"] < 3)
+
+    def number(kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select("doc_id", number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"),
+                        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
+                        secrets.spans_text(spans).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_best_fit_packing, op3_simhash_near_dedup, op5_token_frames, op7_exact_dedup, op8_line_dedup)}
+        op1_best_fit_packing, op3_simhash_near_dedup, op5_token_frames, op7_exact_dedup, op8_line_dedup,
+        op9_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
