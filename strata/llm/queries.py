@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import exact, frames, lines, packing, secrets, simhash
+from strata.llm import exact, frames, language, lines, packing, quality, secrets, simhash
 from strata.llm.common import table, vocabulary_path
 from strata.session import new_run_dir
 
@@ -21,12 +21,20 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4, blocks=7)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op5_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = frames.write(table(spark, sf_dir, "documents"), f"{new_run_dir(spark, 'token-frames')}/ids",
                             vocabulary_path("word_bpe_49k.json"), end_id=1)
     return frames.read(spark, manifest, keep_ids=False)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_of(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -52,8 +60,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_best_fit_packing, op3_simhash_near_dedup, op5_token_frames, op7_exact_dedup, op8_line_dedup,
-        op9_secret_scan)}
+        op1_best_fit_packing, op3_simhash_near_dedup, op4_quality_classifier, op5_token_frames, op6_language_id,
+        op7_exact_dedup, op8_line_dedup, op9_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
