@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import exact, frames, language, lines, packing, quality, secrets, simhash
+from strata.llm import exact, frames, language, lines, neighbours, packing, quality, secrets, simhash
 from strata.llm.common import table, vocabulary_path
 from strata.session import new_run_dir
 
@@ -17,6 +17,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   capacity=1024, end_id=2)
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, k=10)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4, blocks=7)
 
@@ -60,8 +64,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_best_fit_packing, op3_simhash_near_dedup, op4_quality_classifier, op5_token_frames, op6_language_id,
-        op7_exact_dedup, op8_line_dedup, op9_secret_scan)}
+        op1_best_fit_packing, op2_nearest_neighbours, op3_simhash_near_dedup, op4_quality_classifier, op5_token_frames,
+        op6_language_id, op7_exact_dedup, op8_line_dedup, op9_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
