@@ -8,7 +8,9 @@ A text is cut only where the tokenizer itself always cuts, so the ids of the chu
   does not, go to the library whole.
 * ``keep_space=False`` (vocabularies that drop white space): a chunk is a run without ASCII white space.
 
-Chunks of up to 64 characters are remembered in a bounded map per Python worker (emptied when full, so it only
+A new chunk that is one word of Latin letters, and marks such as a comma after it, is two of the tokenizer's own
+pre-tokens by its split pattern; these go straight to the library's model.  Every other new chunk goes through the whole
+library.  Chunks of up to 64 characters are remembered in a bounded map per Python worker (emptied when full, so it only
 decides how often the library is called, never the result).
 """
 
@@ -23,12 +25,23 @@ _WITH_SPACE = re.compile(r"\s*\S+|\s+")
 _WITHOUT_SPACE = re.compile(r"[^\t-\r ]+")
 _UNCLEAR = re.compile("[\x1c-\x1f]")
 _LONGEST_KEPT = 64
+_WORD = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)").fullmatch
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if printable, else the next from U+0100."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
 
 
 class Encoder:
     """``encode(text)`` gives the ids as little-endian unsigned 32-bit integers in one ``bytes``."""
 
-    def __init__(self, path: str, keep_space: bool, max_entries: int = 600_000):
+    def __init__(self, path: str, keep_space: bool, max_entries: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -38,6 +51,38 @@ class Encoder:
         self._chunks = (_WITH_SPACE if keep_space else _WITHOUT_SPACE).findall
         self._known: dict[str, bytes] = {}
         self._max = max_entries
+        self._model = self._tokenizer.model.tokenize
+        self._marks: dict[str, bytes] = {"": b""}
+
+    def _words(self, found: list[tuple[str, str]]) -> list[bytes]:
+        """Ids of (word, marks after it), the words' from the model."""
+        text = "\n".join([w for w, _ in found])
+        text = text if self._keep_space else text.lower()
+        words = text.encode().decode("latin-1").translate(_LETTERS).split(_LETTERS[10])
+        tokens = [self._model(w) for w in words]
+        raw = np.array([t.id for ts in tokens for t in ts], dtype="<u4").tobytes()
+        out, at = [], 0
+        for ts, (_, marks) in zip(tokens, found):
+            end = at + 4 * len(ts)
+            if marks not in self._marks:
+                self._marks[marks] = self._ids([marks])[0]
+            out.append(raw[at:end] + self._marks[marks])
+            at = end
+        return out
+
+    def _new(self, chunks: list[str]) -> dict[str, bytes]:
+        words, found, others = [], [], []
+        for c in chunks:
+            m = _WORD(c)
+            if m:
+                words.append(c)
+                found.append(m.groups())
+            else:
+                others.append(c)
+        out = dict(zip(words, self._words(found))) if words else {}
+        if others:
+            out.update(zip(others, self._ids(others)))
+        return out
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         out = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -56,7 +101,7 @@ class Encoder:
         if len(self._known) >= self._max:
             self._known.clear()
         new = [c for c in dict.fromkeys(chunks) if c not in self._known]
-        at_hand = dict(zip(new, self._ids(new)))
+        at_hand = self._new(new)
         self._known.update((c, b) for c, b in at_hand.items() if len(c) <= _LONGEST_KEPT)
         return b"".join([at_hand[c] if c in at_hand else self._known[c] for c in chunks])
 
