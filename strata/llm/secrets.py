@@ -85,24 +85,30 @@ def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("s.secret", F.explode("s.tokens").alias("token"))
 
 
-def train(sample: DataFrame, smoothing: float = 0.5) -> list[float]:
+def train(sample: DataFrame, backoff: float = 5.0) -> list[float]:
     """Log-likelihood ratios (random over ordinary) of the transitions, row by row of ``SYMBOLS``.
 
-    Tokens are counted once per distinct text first, so that a frequent word costs one row.
+    A transition's probability backs off, with the weight of ``backoff`` counts, to how frequent the character is; for
+    random strings half of that is uniform.  Tokens are counted once per distinct text first, so that a frequent word
+    costs one row.
     """
     n = len(SYMBOLS)
     tokens = sample.groupBy("secret", "token").agg(F.count("*").alias("n")).filter(F.length("token") > 1)
     pairs = tokens.select("secret", "n", F.explode(F.sequence(F.lit(1), F.length("token") - 1)).alias("i"), "token") \
         .groupBy("secret", F.expr("substring(token, i, 2)").alias("pair")).agg(F.sum("n").alias("n")).collect()
     place = {c: i for i, c in enumerate(SYMBOLS)}
-    counts = {True: [smoothing] * (n * n), False: [smoothing] * (n * n)}
+    counts = {True: [[0.0] * n for _ in range(n)], False: [[0.0] * n for _ in range(n)]}
     for row in pairs:
         if row["pair"][0] in place and row["pair"][1] in place:
-            counts[row["secret"]][place[row["pair"][0]] * n + place[row["pair"][1]]] += row["n"]
-    logs = {}
-    for kind, c in counts.items():
-        logs[kind] = [math.log(c[i * n + j] / sum(c[i * n:(i + 1) * n])) for i in range(n) for j in range(n)]
-    return [a - b for a, b in zip(logs[True], logs[False])]
+            counts[row["secret"]][place[row["pair"][0]]][place[row["pair"][1]]] += row["n"]
+
+    def logs(table, uniform):
+        every = sum(map(sum, table)) + 0.5 * n
+        single = [(sum(r[j] for r in table) + 0.5) / every for j in range(n)]
+        single = [uniform / n + (1 - uniform) * x for x in single]
+        return [math.log((r[j] + backoff * single[j]) / (sum(r) + backoff)) for r in table for j in range(n)]
+
+    return [a - b for a, b in zip(logs(counts[True], 0.5), logs(counts[False], 0.0))]
 
 
 def _ratio(token: Column, model: list[float]) -> Column:
