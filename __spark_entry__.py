@@ -271,7 +271,8 @@ def q_live_channel_sales(spark, sf_dir):
                        sink="parquet", path=f"{run}/live", trigger={"availableNow": True})
         q.awaitTermination()
         _RUNS[key] = run
-    return spark.read.parquet(f"{_RUNS[key]}/live").withColumnRenamed("event_type", "channel")
+    return live.read_result(spark, f"{_RUNS[key]}/live", "complete", ["order_date", "event_type"]) \
+        .withColumnRenamed("event_type", "channel")
 
 
 def q_live_channel_sales_append(spark, sf_dir):
@@ -288,7 +289,8 @@ def q_live_channel_sales_append(spark, sf_dir):
                        sink="parquet", path=f"{run}/live", output_mode="append", trigger={"availableNow": True})
         q.awaitTermination()
         _RUNS[key] = run
-    return spark.read.parquet(f"{_RUNS[key]}/live").withColumnRenamed("event_type", "channel")
+    return live.read_result(spark, f"{_RUNS[key]}/live", "append", ["order_date", "event_type"]) \
+        .withColumnRenamed("event_type", "channel")
 
 
 def q_dimension_csv(spark, sf_dir):

@@ -1,6 +1,6 @@
 """Column-expression helpers (all built-in Spark functions, JVM-side)."""
 
-from strata.functions.money import cents, cents_to_amount, ratio_rounded
+from strata.functions.money import amount_average, amount_total
 from strata.functions.rules import Expectation, DEFAULT_RULES, rules_from_dict
 
-__all__ = ["cents", "cents_to_amount", "ratio_rounded", "Expectation", "DEFAULT_RULES", "rules_from_dict"]
+__all__ = ["amount_average", "amount_total", "Expectation", "DEFAULT_RULES", "rules_from_dict"]

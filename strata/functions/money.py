@@ -1,11 +1,8 @@
-"""Exact money arithmetic.
-
-A sum of doubles depends on the order rows are added, so two runs (or two
-engines, or a retried task) can disagree in the last bit and flip a
-``round(…, 2)`` at a .xx5 tie.  Amounts are therefore accumulated as whole
-cents in a BIGINT: exact, associative, and identical however Spark splits the
-work.  Line amounts are cents already (integer qty x 2-decimal price); the
-rounding below only absorbs binary noise such as 12.3 * 3 = 36.900000000000006.
+"""Money: ``round(sum(x), 2)`` with one rounding and no dependence on the order of rows.
+
+A sum of doubles depends on the order in which rows are added, so a retried task could flip a rounding at a tie.
+Amounts are therefore summed as DECIMAL(38,6) (exact, whatever the split) and rounded once, after the sum.  Amounts
+that a decimal cannot hold (NaN, infinite, 1e32 and more) are not dropped: a group with any is summed in doubles.
 """
 
 from __future__ import annotations
@@ -13,28 +10,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_EXACT = "decimal(38,6)"
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def cents(amount) -> Column:
-    """Amount (double) → whole cents (bigint), half away from zero; NULL for NaN/±Infinity
-    (``try_cast``: one non-finite amount must not abort an ANSI-mode job)."""
-    return F.round(_col(amount) * F.lit(100)).try_cast("bigint")
+def _exact(amount) -> Column:
+    return _col(amount).cast("double").try_cast(_EXACT)
+
 
+def _sums(amount) -> tuple[Column, Column, Column]:
+    """Of a group: whether decimals hold it, the exact sum, the sum in doubles."""
+    x = _col(amount).cast("double")
+    beyond = F.max(F.when(x.isNotNull() & _exact(x).isNull(), F.lit(1)).otherwise(F.lit(0)))
+    exact = F.try_sum(_exact(x))
+    return (beyond == 0) & exact.isNotNull(), exact, F.sum(x)
 
-def cents_to_amount(total_cents) -> Column:
-    """Cents (bigint) → amount (double); exactly ``round(sum, 2)`` of the cents."""
-    return _col(total_cents).cast("double") / F.lit(100.0)
 
+def amount_total(amount) -> Column:
+    """Aggregate: the sum, rounded to cents once; NULL if the group has no amount."""
+    fits, exact, plain = _sums(amount)
+    return F.when(fits, F.round(exact, 2).cast("double")).otherwise(F.round(plain, 2))
 
-def ratio_rounded(total_cents: str, n: str) -> Column:
-    """``round(total / n, 2)`` computed in integers: half away from zero, no float ties.
 
-    ``sign(c) * ((2|c| + n) div 2n) / 100`` over two column *names*; NULL when
-    ``n`` is 0 instead of an ANSI divide-by-zero error.
-    """
-    c, k = f"`{total_cents}`", f"CAST(`{n}` AS BIGINT)"
-    q = f"CASE WHEN {k} > 0 THEN CAST(signum({c}) AS BIGINT) * ((2 * abs({c}) + {k}) div (2 * {k})) END"
-    return F.expr(q).cast("double") / F.lit(100.0)
+def amount_average(amount, n: Column) -> Column:
+    """Aggregate: the sum over ``n`` (an aggregate), rounded to cents once; NULL where ``n`` is 0."""
+    fits, exact, plain = _sums(amount)
+    some = F.nullif(n.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    return F.when(fits, F.round(exact / some, 2).cast("double")).otherwise(F.round(plain / some.cast("double"), 2))

@@ -44,7 +44,6 @@ def bind_now(predicate: str, as_of: str | None) -> str:
 
 # Fixed values that must equal the reference's rule set (names, predicates,
 # actions) — the silver contract of the order pipeline.
-KNOWN_CHANNELS = ("DINE_IN", "TAKEAWAY", "DELIVERY", "DRIVE_THRU", "KIOSK")
 DEFAULT_RULES = (
     Expectation("valid_order_id", "order_id IS NOT NULL", "drop"),
     Expectation("valid_store", "store_id IS NOT NULL", "drop"),

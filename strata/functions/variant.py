@@ -1,11 +1,12 @@
 """Typed projection of parsed JSON with a rescue column.
 
 Input rows carry the raw line and ``_v`` (``try_parse_json(line)``, VARIANT,
-NULL when the line is not valid JSON).  Each schema field is read with
-``try_variant_get``; a value that is
-present but does not convert *losslessly* — at any depth, e.g. one element of
-``items`` with ``qty: "x"`` — is kept whole in the rescue column together with
-every key the schema does not know.  Lines that are not JSON objects go to the
+NULL when the line is not valid JSON).  A value that is present but does not
+convert *losslessly* — at any depth, e.g. one element of ``items`` with
+``qty: "x"``, a fraction under an integer type, a number under BOOLEAN, a nested
+key the schema does not know — is kept whole in the rescue column, and its typed
+column has NULL in place of what would have been changed.  Unknown top-level keys
+are rescued as well.  Lines that are not JSON objects go to the
 rescue column verbatim.  All of it is built-in expressions: nothing leaves the JVM.
 """
 
@@ -16,22 +17,54 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def field_path(name: str) -> str:
-    return "$['" + name.replace("'", "\\'") + "']"
+def field_value(x: Column, name: str, kind: str = "variant") -> Column:
+    """Field ``name`` of an object; a name with both kinds of quotes has no path and is looked up as a key."""
+    if "'" not in name:
+        return F.try_variant_get(x, f"$['{name}']", kind)
+    if '"' not in name:
+        return F.try_variant_get(x, f'$["{name}"]', kind)
+    return F.try_variant_get(F.get(F.map_values(F.map_filter(
+        F.try_variant_get(x, "$", "map<string,variant>"), lambda k, _: k == name)), F.lit(0)), "$", kind)
 
 
 def _absent(x: Column) -> Column:
     return x.isNull() | F.is_variant_null(x)
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def _scalar_lossless(x: Column, dtype: T.DataType) -> Column:
+    """The value's own type decides: a number stays the same number, a boolean a boolean; a string may be parsed (H3)."""
+    own = F.schema_of_variant(x)
+    typed = F.try_variant_get(x, "$", dtype.simpleString())
+    text = own == "STRING"
+    if isinstance(dtype, T.BooleanType):
+        fits = text | (own == "BOOLEAN")
+    elif isinstance(dtype, _INTEGRAL + _FRACTIONAL):
+        exact = F.try_variant_get(x, "$", "decimal(38,18)")
+        same = typed.try_cast("decimal(38,18)") == exact
+        number = (own == "BIGINT") | own.startswith("DECIMAL")
+        if isinstance(dtype, _INTEGRAL):
+            fits = text | ((number | (own == "DOUBLE")) & same)
+        else:
+            # a JSON fraction is read as the nearest double; a whole number must survive the way there and back
+            fraction = number & (own != "BIGINT") & ~F.lit(isinstance(dtype, T.DecimalType))
+            fits = text | (own == "DOUBLE") | fraction | (number & same)
+    else:
+        fits = text | own.startswith("TIMESTAMP") | (own == "DATE")
+    return _absent(x) | F.coalesce(fits & typed.isNotNull(), F.lit(False))
+
+
 def lossless(x: Column, dtype: T.DataType) -> Column:
     """TRUE when variant ``x`` is absent/null or converts to ``dtype`` without losing anything."""
     if isinstance(dtype, T.StructType):
         as_map = F.try_variant_get(x, "$", "map<string,variant>")
-        inner = [lossless(F.try_variant_get(x, field_path(f.name), "variant"), f.dataType) for f in dtype.fields]
-        ok = as_map.isNotNull()
-        for c in inner:
-            ok = ok & c
+        known = F.array(*[F.lit(f.name) for f in dtype.fields])
+        ok = as_map.isNotNull() & (F.size(F.array_except(F.map_keys(as_map), known)) == 0)
+        for f in dtype.fields:
+            ok = ok & lossless(field_value(x, f.name), f.dataType)
         return _absent(x) | F.coalesce(ok, F.lit(False))
     if isinstance(dtype, T.ArrayType):
         arr = F.try_variant_get(x, "$", "array<variant>")
@@ -43,55 +76,68 @@ def lossless(x: Column, dtype: T.DataType) -> Column:
         return _absent(x) | F.coalesce(F.forall(F.map_values(m), lambda e: lossless(e, vt)), F.lit(False))
     if isinstance(dtype, T.StringType):
         return F.lit(True)  # anything has a string form
-    return _absent(x) | F.try_variant_get(x, "$", dtype.simpleString()).isNotNull()
-
+    return _scalar_lossless(x, dtype)
 
-def typed_columns(schema: T.StructType, v: str) -> list[Column]:
-    """One ``try_variant_get`` per schema field, named after it."""
-    return [F.try_variant_get(F.col(v), field_path(f.name), f.dataType.simpleString()).alias(f.name)
-            for f in schema.fields]
 
-
-def _has_null(x: Column, dtype: T.DataType) -> Column:
-    """TRUE when the *typed* value ``x`` is NULL anywhere inside (cheap: no variant access)."""
+def faithful(x: Column, dtype: T.DataType) -> Column:
+    """The typed value of ``x`` with NULL in place of each scalar that would not convert losslessly, at any depth."""
     if isinstance(dtype, T.StructType):
-        out = x.isNull()
-        for f in dtype.fields:
-            out = out | _has_null(x[f.name], f.dataType)
-        return out
+        fields = [faithful(field_value(x, f.name), f.dataType).alias(f.name)
+                  for f in dtype.fields]
+        is_object = F.try_variant_get(x, "$", "map<string,variant>").isNotNull()
+        return F.when(is_object, F.struct(*fields)).cast(dtype)
     if isinstance(dtype, T.ArrayType):
         et = dtype.elementType
-        return x.isNull() | F.coalesce(F.exists(x, lambda e: _has_null(e, et)), F.lit(False))
+        return F.transform(F.try_variant_get(x, "$", "array<variant>"), lambda e: faithful(e, et)).cast(dtype)
     if isinstance(dtype, T.MapType):
         vt = dtype.valueType
-        return x.isNull() | F.coalesce(F.exists(F.map_values(x), lambda e: _has_null(e, vt)), F.lit(False))
-    return x.isNull()
+        return F.transform_values(F.try_variant_get(x, "$", "map<string,variant>"), lambda _, e: faithful(e, vt))
+    return F.when(lossless(x, dtype), F.try_variant_get(x, "$", dtype.simpleString()))
+
+
+def fit_flags(schema: T.StructType, v: str) -> Column:
+    """Per schema field, in order, whether its value is lossless (evaluated once; read by the two below)."""
+    return F.array(*[lossless(field_value(F.col(v), f.name), f.dataType)
+                     for f in schema.fields] or [F.lit(True)])
 
 
-def rescued_column(schema: T.StructType, raw: str, v: str, rescue_unknown: bool = True) -> Column:
-    """JSON text of everything the typed columns lose; NULL when nothing is lost.
+def typed_columns(schema: T.StructType, v: str, fits: str) -> list[Column]:
+    """Each field as its type: in one step where it fits, piece by piece (NULL for what does not) where not."""
+    out = []
+    for i, f in enumerate(schema.fields):
+        whole = field_value(F.col(v), f.name, _ddl(f.dataType))
+        parts = faithful(field_value(F.col(v), f.name), f.dataType)
+        out.append(F.when(F.get(fits, F.lit(i)), whole).otherwise(parts).alias(f.name))
+    return out
 
-    Expects the typed columns (``typed_columns``) next to ``raw`` and ``v``.
-    The deep per-field check and the map of rescued keys are only evaluated
-    for rows that trip a cheap guard — a typed value that is NULL somewhere,
-    or a key the schema does not know — so clean rows pay almost nothing.
+
+def _ddl(dtype: T.DataType) -> str:
+    """Type text with quoted field names (names may hold any character)."""
+    if isinstance(dtype, T.StructType):
+        inner = ",".join(f"`{f.name.replace('`', '``')}`:{_ddl(f.dataType)}" for f in dtype.fields)
+        return f"struct<{inner}>"
+    if isinstance(dtype, T.ArrayType):
+        return f"array<{_ddl(dtype.elementType)}>"
+    if isinstance(dtype, T.MapType):
+        return f"map<{_ddl(dtype.keyType)},{_ddl(dtype.valueType)}>"
+    return dtype.simpleString()
+
+
+def rescued_column(schema: T.StructType, raw: str, v: str, fits: str, rescue_unknown: bool = True) -> Column:
+    """JSON text of every field that the typed columns do not hold faithfully; NULL when nothing is lost.
+
+    A field that does not fit is kept whole, with keys inside it that the schema does not know.  ``fits`` is the
+    column of ``fit_flags``; ``rescue_unknown`` also keeps unknown top-level keys.
     """
     names = [f.name for f in schema.fields]
     known = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
-    checks = []
-    for f in schema.fields:
-        if isinstance(f.dataType, T.StringType):
-            continue
-        raw_f = F.try_variant_get(F.col(v), field_path(f.name), "variant")
-        suspicious = _has_null(F.col(f.name), f.dataType)
-        checks.append(F.when(suspicious & ~lossless(raw_f, f.dataType), F.lit(f.name)))
-    bad = F.array_compact(F.array(*(checks or [F.lit(None).cast("string")])))
+    bad = F.array_compact(F.array(*[F.when(~F.get(fits, F.lit(i)), F.lit(n)) for i, n in enumerate(names)]
+                                  or [F.lit(None).cast("string")]))
     is_object = F.col(v).isNotNull() & F.ltrim(F.col(raw)).startswith("{")
+    as_map = F.try_variant_get(F.col(v), "$", "map<string,variant>")
     if rescue_unknown:
-        unknown = F.array_except(F.json_object_keys(F.col(raw)), known)
+        lost = F.array_union(bad, F.array_except(F.map_keys(as_map), known))
     else:
-        unknown = F.array().cast("array<string>")
-    lost = F.array_union(bad, unknown)
-    as_map = F.try_variant_get(F.col(v), "$", "map<string,variant>")
+        lost = bad
     picked = F.to_json(F.map_filter(as_map, lambda k, _: F.array_contains(lost, k)))
     return F.when(~is_object, F.col(raw)).when(F.size(lost) > 0, picked)

@@ -33,6 +33,14 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
     return df
 
 
+def one_per_key(dim: DataFrame, key: str) -> DataFrame:
+    """One row per key: of several the least, column by column order, so that a join never multiplies facts."""
+    rest = [c for c in dim.columns if c != key]
+    row = F.struct(*rest)
+    return dim.groupBy(key).agg(F.min(row).alias("row")).select(
+        *[key if c == key else F.col("row")[c].alias(c) for c in dim.columns])
+
+
 def left_join_dim(facts: DataFrame, dim: DataFrame, key: str, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``facts LEFT JOIN dim USING (key)``: unmatched keys (and NULL keys) keep NULL attributes."""
-    return facts.join(broadcast_if_small(dim, max_bytes), key, "left")
+    return facts.join(broadcast_if_small(one_per_key(dim, key), max_bytes), key, "left")

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.money import cents, cents_to_amount, ratio_rounded
+from strata.functions.money import amount_average, amount_total
 
 
 def per_file(bronze: DataFrame) -> DataFrame:
@@ -45,21 +45,20 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def store_league(daily_store_sales: DataFrame) -> DataFrame:
     """V5: orders, revenue and the *unweighted* mean of daily baskets per store, by revenue.
 
-    The mean is ``round(avg(avg_basket_value), 2)`` computed exactly in cents.
+    The mean is ``round(avg(avg_basket_value), 2)`` summed exactly, rounded once.
     """
     return (daily_store_sales.groupBy("region", "city", "store_name")
             .agg(F.sum("orders").alias("orders"),
-                 cents_to_amount(F.sum(cents("revenue"))).alias("revenue"),
-                 F.sum(cents("avg_basket_value")).alias("_bc"), F.count("avg_basket_value").alias("_bn"))
-            .select("region", "city", "store_name", "orders", "revenue",
-                    ratio_rounded("_bc", "_bn").alias("avg_basket"))
+                 amount_total("revenue").alias("revenue"),
+                 amount_average("avg_basket_value", F.count("avg_basket_value")).alias("avg_basket"))
+            .select("region", "city", "store_name", "orders", "revenue", "avg_basket")
             .orderBy(F.col("revenue").desc(), "region", "city", "store_name"))
 
 
 def top_items(top_items_view: DataFrame, k: int = 15) -> DataFrame:
     """V6 / O-3: the k best-selling items by revenue (ties broken by category, item)."""
     return (top_items_view.groupBy("category", "item_name")
-            .agg(F.sum("units_sold").alias("units"), cents_to_amount(F.sum(cents("revenue"))).alias("revenue"))
+            .agg(F.sum("units_sold").alias("units"), amount_total("revenue").alias("revenue"))
             .orderBy(F.col("revenue").desc(), "category", "item_name").limit(k))
 
 

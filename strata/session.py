@@ -66,6 +66,8 @@ def state_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="strata-state-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -74,6 +76,4 @@ def state_root(spark: SparkSession) -> str:
 def new_run_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused folder under the state root for one run."""
     path = f"{state_root(spark)}/strata/{label}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
     return path

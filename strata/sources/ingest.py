@@ -15,10 +15,11 @@ micro-batch in ``foreachBatch``:
    only, never rows); ``addNewColumns`` infers their types, stores version
    n+1 and raises :class:`UnknownFieldError`, so the batch commits nothing and
    is replayed — with the wider schema — on the next run;
-4. project with ``try_variant_get`` and build ``_rescued_data`` (lazily: the
-   deep per-field check only runs for rows that trip a cheap guard);
-5. overwrite ``<table>/batch_id=<id>``: a replayed batch replaces its own
-   directory, so a retry after any failure leaves no duplicates.
+4. project with ``try_variant_get`` and build ``_rescued_data``: what would not
+   convert without loss, at any depth, is NULL in its column and rescued whole;
+5. publish ``<table>/batch_id=<id>`` in one move: readers see a batch whole or
+   not at all, and a replayed batch that is there already is left alone, so a
+   retry after any failure leaves no duplicates, here or downstream.
 
 Discovery, exactly-once bookkeeping and rate limiting are the file source's
 own checkpoint log; ``maxFileAge`` is lifted so old late files are not
@@ -35,13 +36,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.variant import rescued_column, typed_columns
-from strata.sources.schema_store import SchemaStore, all_strings, apply_hints, schema_from_variant_type
+from strata.functions.variant import fit_flags, rescued_column, typed_columns
+from strata.sources import storage
+from strata.sources.schema_store import (SchemaStore, all_strings, apply_hints, check_types_kept,
+                                         schema_from_variant_type)
 
 EVOLUTION_MODES = ("addNewColumns", "rescue", "failOnNewColumns", "none")
 META_COLUMNS = ("source_file", "file_modified_at", "ingested_at")
 # Internal column names while a batch is parsed (JSON fields may be called anything).
-LINE, VAR, SRC, MTIME = "__strata_line", "__strata_v", "__strata_src", "__strata_mtime"
+LINE, VAR, FITS, SRC, MTIME = ("__strata_line", "__strata_v", "__strata_fits", "__strata_src", "__strata_mtime")
 
 
 class UnknownFieldError(RuntimeError):
@@ -118,37 +121,27 @@ def infer_schema(spark: SparkSession, parsed: DataFrame, opts: IngestOptions, on
     return schema
 
 
-class TooManyNewFieldsError(RuntimeError):
-    """More unseen top-level keys than ``max_new_fields``: the objects look map-like."""
-
-
-def new_top_level_keys(parsed: DataFrame, schema: T.StructType, max_new_fields: int = 10_000) -> list[str]:
-    """Distinct keys not in ``schema`` (case-insensitive); only names reach the driver.
-
-    Past ``max_new_fields`` distinct names the batch is refused (nothing is
-    dropped): such data wants a MAP-typed column via a schema hint.
-    """
+def new_top_level_keys(parsed: DataFrame, schema: T.StructType) -> list[str]:
+    """Distinct keys not in ``schema`` (case-insensitive); only names reach the driver, as the schema itself does."""
     known = F.array(*[F.lit(f.name.lower()) for f in schema.fields]) if schema.fields else F.array().cast(
         "array<string>")
-    keys = (_objects(parsed).select(F.explode(F.json_object_keys(LINE)).alias("k"))
+    fields = F.try_variant_get(VAR, "$", "map<string,variant>")
+    keys = (_objects(parsed).select(F.explode(F.map_keys(fields)).alias("k"))
             .filter(~F.array_contains(known, F.lower("k"))).distinct())
-    names = [r["k"] for r in keys.limit(max_new_fields + 1).collect()]
-    if len(names) > max_new_fields:
-        raise TooManyNewFieldsError(f"more than {max_new_fields} new top-level fields; hint a MAP column instead")
-    return names
+    return [r["k"] for r in keys.collect()]
 
 
 def project(parsed: DataFrame, schema: T.StructType, opts: IngestOptions) -> DataFrame:
     """Typed columns, rescue column and metadata (bronze row shape).
 
-    Two projections: the typed values first, then the rescue column reading
-    them (the optimizer keeps the expensive extractions computed once).
+    Two projections: first whether each field fits its type, then the typed
+    values and the rescue column, which read that.
     """
-    typed = parsed.select(LINE, VAR, *typed_columns(schema, VAR), SRC, MTIME)
-    cols = [F.col(f"`{f.name}`") for f in schema.fields]
+    typed = parsed.select(LINE, VAR, fit_flags(schema, VAR).alias(FITS), SRC, MTIME)
+    cols = typed_columns(schema, VAR, FITS)
     if opts.rescued_data_column:
         unknown = opts.evolution_mode != "none"
-        cols.append(rescued_column(schema, LINE, VAR, rescue_unknown=unknown).alias(opts.rescued_data_column))
+        cols.append(rescued_column(schema, LINE, VAR, FITS, rescue_unknown=unknown).alias(opts.rescued_data_column))
     cols += [F.col(SRC).alias("source_file"), F.col(MTIME).alias("file_modified_at"),
              F.current_timestamp().alias("ingested_at")]
     return typed.select(*cols)
@@ -174,6 +167,11 @@ class BronzeWriter:
     def current_schema(self, parsed: DataFrame, latest) -> T.StructType:
         if latest is not None:
             version, schema = latest
+            hinted = apply_hints(self.spark, schema, self.opts.schema_hints)
+            check_types_kept(schema, hinted)
+            if len(hinted.fields) > len(schema.fields):  # hinted columns that no batch has had yet
+                self._write_version(version + 1, hinted)
+                version, schema = version + 1, hinted
         elif self.opts.schema is not None:
             schema = self.opts.schema if isinstance(self.opts.schema, T.StructType) else \
                 self.spark.createDataFrame([], self.opts.schema).schema
@@ -191,7 +189,8 @@ class BronzeWriter:
                 if mode == "failOnNewColumns":
                     raise UnknownFieldError(fresh)
                 added = infer_schema(self.spark, parsed, self.opts, only=fresh)
-                added = apply_hints(self.spark, added, None)
+                if not added.fields:  # only keys without a type yet: rescued until data shows it
+                    return schema
                 hinted = apply_hints(self.spark, T.StructType(schema.fields + added.fields), self.opts.schema_hints)
                 self._write_version(version + 1, hinted)
                 raise UnknownFieldError(fresh, version + 1)
@@ -203,6 +202,8 @@ class BronzeWriter:
         return first or self.opts.evolution_mode in ("addNewColumns", "failOnNewColumns")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if storage.published(self.spark, self.table_dir, batch_id):
+            return  # a replay of a batch whose rows are in the table already
         latest = self.latest()
         # A pre-pass and the write both read the batch: keep its raw lines cached so storage
         # is read once (blocks lost with an executor are recomputed from the files).
@@ -210,8 +211,7 @@ class BronzeWriter:
         try:
             parsed = parse_lines(cached)
             schema = self.current_schema(parsed, latest)
-            (project(parsed, schema, self.opts).write.mode("overwrite")
-             .parquet(f"{self.table_dir}/batch_id={batch_id}"))
+            storage.publish(project(parsed, schema, self.opts), self.table_dir, batch_id)
         finally:
             if cached is not batch:
                 cached.unpersist()
@@ -233,6 +233,7 @@ def ingest(spark: SparkSession, source_dir: str, table_dir: str, state_dir: str,
     opts = opts or IngestOptions()
     trigger = trigger or {"availableNow": True}
     attempt = 0
+    storage.check_same_stream(spark, table_dir, f"{state_dir.rstrip('/')}/checkpoint")
     while True:
         writer = BronzeWriter(spark, table_dir, state_dir, opts)
         w = (file_stream(spark, source_dir, opts).writeStream
@@ -277,10 +278,10 @@ def read_bronze(spark: SparkSession, table_dir: str, state_dir: str, opts: Inges
 
 
 def stream_bronze(spark: SparkSession, table_dir: str, state_dir: str, opts: IngestOptions | None = None,
-                  # Bounds every micro-batch — and so first-batch inference — on a large backfill.
-    max_files_per_trigger: int | None = 1000) -> DataFrame:
+                  max_files_per_trigger: int | None = 1000) -> DataFrame:
     """Streaming read of the bronze table (S16); restarts with a wider schema keep the checkpoint."""
-    r = spark.readStream.schema(bronze_schema(spark, state_dir, opts))
+    # Old batches that this reader has not seen yet count as well, however late.
+    r = spark.readStream.schema(bronze_schema(spark, state_dir, opts)).option("maxFileAge", "36500d")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(table_dir)

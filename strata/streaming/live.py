@@ -2,14 +2,14 @@
 
 ``daily_window_agg`` declares: cast the event time, optionally drop
 implausible (future) timestamps, ``withWatermark``, 1-day tumbling
-``window`` + key, ``count`` and exact-cents revenue.  ``start`` runs it with
+``window`` + key, ``count`` and exact revenue.  ``start`` runs it with
 any trigger and output mode into
 
 * ``memory`` — a queryable in-driver table, as in the reference (results are
   #days x #keys, tiny); or
-* ``parquet`` — ``foreachBatch`` writing a shared folder: complete mode
-  overwrites the (small) result table each batch, append mode appends
-  finalized windows only.
+* ``parquet`` — ``foreachBatch`` publishing ``batch_id=<id>`` folders on shared
+  storage; ``read_result`` gives the table: the newest batch in complete mode,
+  all of them in append mode, the newest row of each window in update mode.
 
 Output modes (D4, H4): ``complete`` re-emits everything and never evicts
 state — the watermark then bounds nothing; ``update``/``append`` let the
@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.functions.money import cents, cents_to_amount
+from strata.functions.money import amount_total
+from strata.sources import storage
 
 
 def daily_window_agg(stream: DataFrame, *, ts_col: str = "order_ts", keys: Sequence[str] = ("channel",),
@@ -41,9 +42,8 @@ def daily_window_agg(stream: DataFrame, *, ts_col: str = "order_ts", keys: Seque
     if watermark:
         df = df.withWatermark(ts_col, watermark)
     agg = (df.groupBy(F.window(ts_col, window), *keys)
-           .agg(F.count(F.lit(1)).alias(count_col), F.sum(cents(amount_col)).alias("_cents")))
-    return agg.select(F.col("window.start").cast("date").alias(date_col), *keys, count_col,
-                      cents_to_amount("_cents").alias(amount_out))
+           .agg(F.count(F.lit(1)).alias(count_col), amount_total(amount_col).alias(amount_out)))
+    return agg.select(F.col("window.start").cast("date").alias(date_col), *keys, count_col, amount_out)
 
 
 def start(agg: DataFrame, *, name: str, checkpoint: str, sink: str = "memory", path: str | None = None,
@@ -55,17 +55,33 @@ def start(agg: DataFrame, *, name: str, checkpoint: str, sink: str = "memory", p
         return w.format("memory").start()
     if sink != "parquet" or not path:
         raise ValueError("sink must be 'memory' or 'parquet' with a path")
-    if output_mode == "complete":
-        def write(batch, _id):
-            batch.write.mode("overwrite").parquet(path)
-    elif output_mode == "append":
-        def write(batch, _id):
-            batch.write.mode("append").parquet(path)
-    else:
-        raise ValueError("parquet sink supports complete or append")
+    if output_mode not in ("complete", "append", "update"):
+        raise ValueError("output_mode must be complete, append or update")
+    storage.check_same_stream(agg.sparkSession, path, checkpoint)
+
+    def write(batch, batch_id):
+        # keyed by batch: a replay adds nothing, and readers never lose the table
+        if storage.published(batch.sparkSession, path, batch_id):
+            batch.write.format("noop").mode("overwrite").save()  # the aggregation's state still has to be committed
+        else:
+            storage.publish(batch, path, batch_id)
+
     return w.foreachBatch(write).start()
 
 
+def read_result(spark: SparkSession, path: str, output_mode: str, keys: Sequence[str]) -> DataFrame:
+    """The result table of a parquet sink: the newest batch (complete), all batches (append) or the newest row of each
+    of ``keys`` (update)."""
+    rows = spark.read.parquet(path)
+    if output_mode == "complete":
+        newest = max(int(n.split("=")[1]) for n in storage.children(spark, path) if n.startswith("batch_id="))
+        return rows.filter(F.col("batch_id") == newest).drop("batch_id")
+    if output_mode == "update":
+        last = rows.groupBy(*keys).agg(F.max("batch_id").alias("batch_id"))
+        rows = rows.join(last, [*keys, "batch_id"], "left_semi")
+    return rows.drop("batch_id")
+
+
 def live_channel_sales(spark: SparkSession, bronze_dir: str, bronze_state: str, checkpoint: str, *,
                        name: str = "live_channel_sales", trigger: dict | None = None, output_mode: str = "complete",
                        drop_future: bool = False, as_of: str | None = None) -> StreamingQuery:

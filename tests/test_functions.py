@@ -1,26 +1,32 @@
 from pyspark.sql import functions as F
 
-from strata.functions.money import cents, cents_to_amount, ratio_rounded
+from strata.functions.money import amount_average, amount_total
 from strata.functions.rules import DEFAULT_RULES, Expectation, bind_now, rules_from_dict
 
 
-def test_cents_absorb_binary_noise(spark):
-    df = spark.createDataFrame([(12.3 * 3,), (0.1 + 0.2,), (-5.005,)], "x double")
-    assert [r[0] for r in df.select(cents("x")).collect()] == [3690, 30, -501]
+def _total(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "x double").agg(amount_total("x").alias("t")).first()["t"]
 
 
-def test_non_finite_amounts_become_null(spark):
-    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (1.25,)], "x double")
-    assert [r[0] for r in df.select(cents("x")).collect()] == [None, None, 125]
+def test_amounts_are_summed_exactly_and_rounded_once(spark):
+    assert _total(spark, [12.3 * 3, 0.1 + 0.2]) == 37.2
+    assert _total(spark, [0.004] * 5) == 0.02  # sub-cent amounts count
+    assert _total(spark, [-5.005]) == -5.01 and _total(spark, [None]) is None
 
 
-def test_ratio_rounded_half_away_from_zero(spark):
-    rows = [(1, 8), (5, 2), (-5, 2), (2, 3), (7, 0), (None, 3)]
-    df = spark.createDataFrame(rows, "c bigint, n bigint")
-    got = [r[0] for r in df.select(ratio_rounded("c", "n")).collect()]
-    # 0.125 -> 0.13 (not banker's 0.12); 2.5 -> 3; -2.5 -> -3; n = 0 -> NULL instead of an error
-    assert got == [0.0, 0.03, -0.03, 0.01, None, None]
-    assert df.select(cents_to_amount(F.lit(12345))).first()[0] == 123.45
+def test_no_amount_is_dropped(spark):
+    assert _total(spark, [10.0, 1e18]) == 1e18 + 10
+    assert _total(spark, [float("inf"), 1.25]) == float("inf")
+    nan = _total(spark, [float("nan"), 1.25])
+    assert nan != nan
+    assert _total(spark, [1e40, 1.0]) == 1e40
+
+
+def test_average_rounds_half_away_from_zero(spark):
+    rows = [(1, 0.01, 8), (2, 0.05, 2), (3, -0.05, 2), (4, 0.02, 3), (5, 0.07, 0), (6, None, 3)]
+    df = spark.createDataFrame(rows, "g int, x double, n bigint")
+    got = df.groupBy("g").agg(amount_average("x", F.max("n")).alias("a")).orderBy("g").collect()
+    assert [r["a"] for r in got] == [0.0, 0.03, -0.03, 0.01, None, None]
 
 
 def test_reference_rule_set():

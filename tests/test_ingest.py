@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from strata.sources import synth
+from tests import synth
 from strata.sources.files import list_files
 from strata.sources.ingest import IngestOptions, UnknownFieldError, ingest, read_bronze
 from strata.sources.schema_store import SchemaStore

@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from strata.sources import synth
+from tests import synth
 
 
 def test_staged_batches_shape_and_defects(spark):
