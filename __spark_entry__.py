@@ -24,7 +24,7 @@ from strata.plans import verify
 from strata.plans.event_log import EXPECTATIONS_PATH_SQL
 from strata.plans.pipeline import order_pipeline, table_changes
 from strata.session import new_run_dir
-from strata.sources import adapter, files
+from strata.sources import adapter, files, storage
 from strata.sources.ingest import IngestOptions, UnknownFieldError, ingest, read_bronze
 from strata.streaming import live
 
@@ -409,6 +409,65 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {**own, **_training_data()[0]}
 
 
+def q_silver_order_lines_sql(spark, sf_dir):
+    """G1 P1–P5 in SQL: the SQL form of the flatten, then the same rules."""
+    lines = silver.order_lines_sql(spark, adapter.order_events(spark, sf_dir))
+    return quality.apply_expectations(lines, DEFAULT_RULES, "silver_order_lines", AS_OF)[0]
+
+
+def q_gold_subcent(spark, sf_dir):
+    """Amounts below a cent are summed before the one rounding."""
+    line = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    return gold.channel_mix(line.select(
+        F.col("l_shipdate").cast("date").alias("order_date"), F.col("l_returnflag").alias("channel"),
+        F.col("l_linestatus").alias("payment_method"), F.col("l_orderkey").alias("order_id"),
+        (F.col("l_quantity").cast("double") * F.lit(0.004)).alias("line_amount")))
+
+
+def _lossless(spark, sf_dir):
+    """Events landed under types that not every value fits: a fraction under BIGINT, a number under BOOLEAN, a nested key
+    that the schema does not know."""
+    key = ("lossless", sf_dir)
+    if key not in _RUNS:
+        run = new_run_dir(spark, "lossless")
+        opts = IngestOptions(schema="event_id BIGINT, value BIGINT, flag BOOLEAN, tag STRUCT<k: BIGINT>",
+                             evolution_mode="rescue")
+        _events(spark, sf_dir).select(
+            "event_id", "value", F.col("user_id").alias("flag"),
+            F.struct(F.lit(1).alias("k"), F.when(F.col("event_type") == "error", F.col("event_type")).alias("note"))
+            .alias("tag")).write.json(f"{run}/landing")
+        ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/state", opts)
+        _RUNS[key] = read_bronze(spark, f"{run}/bronze", f"{run}/state", opts)
+    return _RUNS[key]
+
+
+def q_bronze_lossless(spark, sf_dir):
+    """What does not fit its type is NULL there and whole in the rescue column."""
+    rescued = F.col("_rescued_data")
+    return _lossless(spark, sf_dir).select(
+        "event_id", F.col("value").alias("value_typed"), F.col("flag").alias("flag_typed"),
+        F.col("tag.k").alias("tag_k"),
+        F.get_json_object(rescued, "$.value").cast("double").alias("value_rescued"),
+        F.get_json_object(rescued, "$.flag").cast("bigint").alias("flag_rescued"),
+        F.get_json_object(rescued, "$.tag.note").alias("note_rescued"))
+
+
+def q_bronze_replay(spark, sf_dir):
+    """The last batch replayed, its commit forgotten: rows per event type, each once."""
+    key = ("replay", sf_dir)
+    if key not in _RUNS:
+        run, opts = new_run_dir(spark, "replay"), IngestOptions(schema_hints=EVENT_HINTS)
+        _land_by_day(_events(spark, sf_dir), f"{run}/landing")
+        ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/state", opts)
+        commits = f"{run}/state/checkpoint/commits"
+        last = max(int(n) for n in storage.children(spark, commits) if n.isdigit())
+        storage.delete(spark, f"{commits}/{last}")
+        ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/state", opts)
+        _RUNS[key] = read_bronze(spark, f"{run}/bronze", f"{run}/state", opts)
+    return _RUNS[key].groupBy("event_type").agg(F.count("*").alias("rows"),
+                                                F.count_distinct("event_id").alias("events"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "silver_order_lines": q_silver_order_lines,
         "gold_daily_store_sales": q_gold_daily_store_sales,
@@ -442,6 +501,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "dimension_table": q_dimension_table,
         "live_channel_sales_append": q_live_channel_sales_append,
         "pipeline_quarantine": q_pipeline_quarantine,
+        "silver_order_lines_sql": q_silver_order_lines_sql,
+        "gold_subcent": q_gold_subcent,
+        "bronze_lossless": q_bronze_lossless,
+        "bronze_replay": q_bronze_replay,
     }
 
 
@@ -587,6 +650,17 @@ def oracle_sql() -> dict[str, str]:
         "pipeline_quarantine": f"""WITH {_CTE}
             SELECT order_id, item_id, qty, store_id, concat_ws(',', {fails}) AS failed_rules
             FROM lines WHERE NOT ({keep})""",
+        "silver_order_lines_sql": f"{_SILVER} SELECT * FROM silver",
+        "gold_subcent": """SELECT CAST(l_shipdate AS DATE) AS order_date, l_returnflag AS channel,
+                   l_linestatus AS payment_method, count(DISTINCT l_orderkey) AS orders,
+                   round(sum(l_quantity * 0.004), 2) AS revenue
+            FROM lineitem GROUP BY ALL""",
+        "bronze_lossless": """SELECT event_id, CASE WHEN value = floor(value) THEN CAST(value AS BIGINT) END AS value_typed,
+                   CAST(NULL AS BOOLEAN) AS flag_typed, CAST(1 AS BIGINT) AS tag_k,
+                   CASE WHEN value <> floor(value) THEN CAST(value AS DOUBLE) END AS value_rescued,
+                   user_id AS flag_rescued, CASE WHEN event_type = 'error' THEN event_type END AS note_rescued
+            FROM events""",
+        "bronze_replay": "SELECT event_type, count(*) AS rows, count(DISTINCT event_id) AS events FROM events GROUP BY 1",
         # append mode emits a day once the watermark (max event time - 1 day) has passed its end
         "live_channel_sales_append": f"""SELECT CAST(ts AS DATE) AS order_date, event_type AS channel,
                    count(*) AS orders, {cents2.format(x='value')} AS revenue

@@ -51,3 +51,23 @@ def order_lines(events: DataFrame, keep_empty: bool = False) -> DataFrame:
     if "batch_id" in have:
         cols.append(F.col("batch_id"))
     return x.select(*cols)
+
+
+# The same projection as SQL text over a DataFrame parameter (the pipeline's SQL form of silver).
+SQL = """
+SELECT order_id, store_id, customer_id, channel, payment_method,
+       try_cast(order_ts AS TIMESTAMP) AS order_ts,
+       CAST(try_cast(order_ts AS TIMESTAMP) AS DATE) AS order_date,
+       item.item_id AS item_id,
+       try_cast(item.qty AS INT) AS qty,
+       try_cast(item.unit_price AS DOUBLE) AS unit_price,
+       item.qty * item.unit_price AS line_amount,
+       try_cast(order_total AS DOUBLE) AS order_total, currency {carried}
+FROM (SELECT *, explode(items) AS item FROM {{events}})
+"""
+
+
+def order_lines_sql(spark, events: DataFrame) -> DataFrame:
+    """``order_lines`` stated in SQL."""
+    carried = [c for c in ("source_file", "ingested_at", "batch_id") if c in events.columns]
+    return spark.sql(SQL.format(carried="".join(f", {c}" for c in carried)), events=events)
