@@ -19,10 +19,7 @@ from pyspark.sql import functions as F
 from strata.functions.rules import Expectation
 
 
-class ExpectationFailed(RuntimeError):
-    """Raised (via ``raise_error``) when a ``fail`` rule is violated."""
-
-    MARKER = "STRATA_EXPECTATION_FAILED"
+FAILED_MARKER = "STRATA_EXPECTATION_FAILED"  # begins the error that a violated fail rule raises
 
 
 def _all(cols: Sequence[Column]) -> Column:
@@ -30,7 +27,7 @@ def _all(cols: Sequence[Column]) -> Column:
 
 
 def fail_message(rule: Expectation, dataset: str) -> str:
-    return (f"{ExpectationFailed.MARKER}: expectation '{rule.name}' on '{dataset}' "
+    return (f"{FAILED_MARKER}: expectation '{rule.name}' on '{dataset}' "
             f"violated ({rule.predicate}); update aborted")
 
 
