@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.session import new_run_dir
 
-SPACE = "[\\x20\\x09-\\x0D]"  # the white space that operator contracts name
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Hands this package to the Python workers, once per context, so that they need no path of their own to it."""
+    """Prepares Python workers: hands them this package, once per context, so that they need no path of their own to
+    it; and lowers Spark's default of 10,000 rows per Arrow batch, which whole texts make too large."""
     context = spark.sparkContext
+    if spark.conf.get(_ROWS, "10000") == "10000":
+        spark.conf.set(_ROWS, "2000")
     if getattr(context, "_strata_shipped", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -8,10 +8,11 @@ A text is cut only where the tokenizer itself always cuts, so the ids of the chu
   does not, go to the library whole.
 * ``keep_space=False`` (vocabularies that drop white space): a chunk is a run without ASCII white space.
 
-A new chunk that is one word of Latin letters, and marks such as a comma after it, is two of the tokenizer's own
-pre-tokens by its split pattern; these go straight to the library's model.  Every other new chunk goes through the whole
-library.  Chunks of up to 64 characters are remembered in a bounded map per Python worker (emptied when full, so it only
-decides how often the library is called, never the result).
+A new chunk that is one word of Latin letters, maybe after a line feed and before some marks, falls into just these
+pre-tokens by the tokenizer's split pattern; the word goes straight to the library's model.  Every other new chunk
+goes through the whole library.  Chunks of up to 64 characters are remembered per Python worker in two bounded
+generations: when the young one is full it becomes the old one, and chunks met again move over.  That only decides how
+often the library is called, never the result.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ _WITH_SPACE = re.compile(r"\s*\S+|\s+")
 _WITHOUT_SPACE = re.compile(r"[^\t-\r ]+")
 _UNCLEAR = re.compile("[\x1c-\x1f]")
 _LONGEST_KEPT = 64
-_WORD = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)").fullmatch
+# a line feed or not, a word of Latin letters, ASCII marks but the apostrophe
+_WORD = re.compile(r"(\n?)( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]{0,8})").fullmatch
 
 
 def _byte_letters() -> dict[int, str]:
@@ -41,7 +43,7 @@ _LETTERS = _byte_letters()
 class Encoder:
     """``encode(text)`` gives the ids as little-endian unsigned 32-bit integers in one ``bytes``."""
 
-    def __init__(self, path: str, keep_space: bool, max_entries: int = 800_000):
+    def __init__(self, path: str, keep_space: bool, max_entries: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -50,23 +52,27 @@ class Encoder:
         self._keep_space = keep_space
         self._chunks = (_WITH_SPACE if keep_space else _WITHOUT_SPACE).findall
         self._known: dict[str, bytes] = {}
-        self._max = max_entries
+        self._older: dict[str, bytes] = {}
+        self._max = max_entries // 2
         self._model = self._tokenizer.model.tokenize
-        self._marks: dict[str, bytes] = {"": b""}
+        self._marks: dict[str, bytes] = {}
 
-    def _words(self, found: list[tuple[str, str]]) -> list[bytes]:
-        """Ids of (word, marks after it), the words' from the model."""
-        text = "\n".join([w for w, _ in found])
+    def _mark(self, marks: str) -> bytes:
+        if marks not in self._marks:
+            self._marks[marks] = self._ids([marks])[0]
+        return self._marks[marks]
+
+    def _words(self, found: list[tuple[str, str, str]]) -> list[bytes]:
+        """Ids of (line feed, word, marks), the words' from the model."""
+        text = "\n".join([w for _, w, _ in found])
         text = text if self._keep_space else text.lower()
         words = text.encode().decode("latin-1").translate(_LETTERS).split(_LETTERS[10])
         tokens = [self._model(w) for w in words]
         raw = np.array([t.id for ts in tokens for t in ts], dtype="<u4").tobytes()
         out, at = [], 0
-        for ts, (_, marks) in zip(tokens, found):
+        for ts, (lead, _, marks) in zip(tokens, found):
             end = at + 4 * len(ts)
-            if marks not in self._marks:
-                self._marks[marks] = self._ids([marks])[0]
-            out.append(raw[at:end] + self._marks[marks])
+            out.append(self._mark(lead) + raw[at:end] + self._mark(marks) if lead or marks else raw[at:end])
             at = end
         return out
 
@@ -99,9 +105,12 @@ class Encoder:
         except KeyError:
             pass
         if len(self._known) >= self._max:
-            self._known.clear()
+            self._older, self._known = self._known, {}
+        if len(self._marks) >= self._max:
+            self._marks.clear()
         new = [c for c in dict.fromkeys(chunks) if c not in self._known]
-        at_hand = self._new(new)
+        again = {c: self._older[c] for c in new if c in self._older}
+        at_hand = again | self._new([c for c in new if c not in again])
         self._known.update((c, b) for c, b in at_hand.items() if len(c) <= _LONGEST_KEPT)
         return b"".join([at_hand[c] if c in at_hand else self._known[c] for c in chunks])
 
