@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import stored
+
 _HOST, _DROP, _LINES = "strata_line_host", "strata_line_drop", "strata_line_list"
 
 
@@ -39,7 +41,8 @@ def boilerplate(pages: DataFrame, host_col: str, text_col: str, ratio: float, mi
 def line_dedup(pages: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = 0.05,
                min_pages: int = 10, report: bool = False) -> DataFrame:
     """``pages`` without boilerplate lines; ``report`` appends (or replaces) ``n_lines`` and ``n_dropped``."""
-    found = boilerplate(pages, host_col, text_col, ratio, min_pages)
+    # stored: its true size then decides between a broadcast and a join whose hot sites can be split
+    found = stored(boilerplate(pages, host_col, text_col, ratio, min_pages), "boilerplate")
     names = pages.columns
     split = F.split(F.col(text_col), "\n")
     kept = F.filter(F.col(_LINES), lambda line: ~F.array_contains(F.col(_DROP), _digest(line)))
