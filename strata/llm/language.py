@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_arrow, ship
+from strata.llm.common import map_arrow, ship, stored
 
 BUCKETS = 1 << 12
 UNKNOWN = "und"
@@ -104,7 +104,7 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         .filter("lang is not null and text is not null")
     total, df = _document_frequency(known.select("text"))
     idf = np.log((1 + total) / (1 + df)).astype(np.float32) + 1
-    sizes = known.groupBy("lang").count()
+    sizes = stored(known.groupBy("lang").count(), "languages")  # stored: a row per language, broadcast for its true size
     pick = F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 30))
     share = F.least(F.lit(1.0), F.lit(1.3 * per_language) / F.col("count")) * (1 << 30)
     drawn = known.withColumn("pick", pick).join(sizes, "lang").filter(F.col("pick") < share)
