@@ -122,6 +122,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
               .agg(first.alias("first"), F.count("*").alias("n")).join(same, ["fp", "sha"])
               .select("fp", "sha", "first", F.when(F.col("same"), F.col("n")).otherwise(
                   F.raise_error(F.lit("texts differ under one SHA-256"))).alias("n")))
+    # stored, so that the join has a plain shuffle on either side and Spark can split a large group's rows
+    groups = stored(groups, "groups")
     return keyed.join(groups, ["fp", "sha"], "left").select(
         "doc_id", F.coalesce("first.doc_id", "doc_id").alias("keep_id"),
         F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
