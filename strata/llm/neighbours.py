@@ -72,6 +72,15 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+def _packed(x: np.ndarray) -> list[bytes]:
+    """Vectors as single-precision bytes: enough to choose candidates by, and half the size on every curve."""
+    return [row.tobytes() for row in x.astype("<f4")]
+
+
+def _unpacked(rows) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), dtype="<f4").reshape(len(rows), -1).astype(np.float64)
+
+
 def _vectors(column) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1).astype(np.float64) if len(column) else np.zeros((0, 1))
@@ -120,12 +129,13 @@ def ranked_curves(index: DataFrame, curves: Curves) -> DataFrame:
     def keyed(batches):
         for batch in batches:
             x = _vectors(batch.column("vec"))
+            packed = pa.array(_packed(x), pa.binary())
             for c in range(number if batch.num_rows else 0):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(x), c, np.int32)), pa.array(curves.keys(x, c)), batch.column("point"),
-                     batch.column("vec")], names=["curve", "key", "point", "vec"])
+                     packed], names=["curve", "key", "point", "vec"])
 
-    rows = map_arrow(index.select("point", "vec"), keyed, "curve int, key long, point long, vec array<double>")
+    rows = map_arrow(index.select("point", "vec"), keyed, "curve int, key long, point long, vec binary")
     parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["curve", "key", "point"]
     spread = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
@@ -145,7 +155,7 @@ def ranked_curves(index: DataFrame, curves: Curves) -> DataFrame:
                 [batch.column("curve"), batch.column("point"), batch.column("vec"),
                  pa.array(np.full(len(c), part, np.int32)), pa.array(nth)], names=["curve", "point", "vec", "part", "nth"])
 
-    placed = stored(map_arrow(spread, numbered, "curve int, point long, vec array<double>, part int, nth long"), "curves")
+    placed = stored(map_arrow(spread, numbered, "curve int, point long, vec binary, part int, nth long"), "curves")
     counts = placed.groupBy("curve", "part").count()  # a row per curve and partition
     before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("curve", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
@@ -193,7 +203,7 @@ def fit_window(index: DataFrame, ranked: DataFrame, n: int, k: int, recall: floa
 # ------------------------------------------------------------------ search
 def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10,
            curves: int = 24, axes: int = 12, bits: int = 5, recall: float = 0.95, fit_queries: int = 256,
-           margin: float = 1.2, block: int = 4096, seed: int = 11) -> DataFrame:
+           margin: float = 1.2, block: int = 4096, spare: int = 6, seed: int = 11) -> DataFrame:
     """The ``k`` nearest found of every row whose id satisfies ``is_query`` (a function of the id column).
 
     query_id, rank (from 1), vec_id, score (Euclidean distance in double precision).
@@ -221,15 +231,17 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
                          F.col("point").alias("near"), F.col("vec").alias("there"), F.col("rank").alias("place"))
 
     def measure(q: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        """Of one block: the k nearest points inside the window of each query, and the query's own point."""
-        x, p, r = np.stack(held["there"]), held["near"].to_numpy(), held["place"].to_numpy()
+        """Of one block: the nearest points inside the window of each query (a few more than k, as distances are
+        rough here), and the query's own point."""
+        x, p, r = _unpacked(held["there"].tolist()), held["near"].to_numpy(), held["place"].to_numpy()
         rows = []
         for at in range(0, len(q), 256):
             part = q.iloc[at:at + 256]
-            d = _distances(np.stack(part["vec"]), x)
+            d = _distances(_unpacked(part["vec"].tolist()), x)
             d[np.abs(part["rank"].to_numpy()[:, None] - r[None]) > window] = np.inf
             d[part["query"].to_numpy()[:, None] == p[None]] = -1.0  # equal vectors are nearest of all
-            top = np.argpartition(d, min(k, d.shape[1] - 1), axis=1)[:, :k + 1]
+            few = min(k + spare, d.shape[1])
+            top = np.argpartition(d, few - 1, axis=1)[:, :few]
             for i, query in enumerate(part["query"].to_numpy()):
                 j = top[i][np.isfinite(d[i, top[i]])]
                 rows.append(pd.DataFrame({"query": query, "point": p[j]}))
