@@ -126,14 +126,15 @@ class Lattice:
         ids.append(np.full(len(odd), -1))
         node, size, piece = np.concatenate(nodes), np.concatenate(sizes), np.concatenate(ids)
         order = np.argsort(node, kind="stable")
-        self.node, size, piece = node[order], size[order], piece[order]
+        self.node, size, piece = node[order].astype(np.int32), size[order], piece[order]
+        del nodes, sizes, ids, node, order, alive, h
         self.first = np.searchsorted(self.node, np.arange(n + 1))
         after = self.node + size
-        self.next = np.where(size == left[self.node], -1, after)
+        self.next = np.where(size == left[self.node], -1, after).astype(np.int32)
         # ids an option emits
-        self.emits = np.ones(len(piece), dtype=np.int64)
+        self.emits = np.ones(len(piece), dtype=np.int32)
         self.emits[piece < 0] = [len(b) for b in spelled]
-        self.emit_at = np.cumsum(self.emits) - self.emits
+        self.emit_at = (np.cumsum(self.emits) - self.emits).astype(np.int32)
         self.flat = np.empty(int(self.emits.sum()), dtype=np.uint32)
         self.flat[self.emit_at[piece >= 0]] = piece[piece >= 0]
         for at, b in zip(self.emit_at[piece < 0].tolist(), spelled):
@@ -346,7 +347,7 @@ def decoded(rows: DataFrame, model: str, ids_col: str = "ids", out_col: str = "t
 
 
 def sampled(docs: DataFrame, model: str, k: int = 2, alpha: float = 0.5, seed: int = 1, key_col: str = "doc_id",
-            text_col: str = "text", keep_ids: bool = False, batch_chars: int = 6_000_000) -> DataFrame:
+            text_col: str = "text", keep_ids: bool = False, batch_chars: int = 1_500_000) -> DataFrame:
     """Per row and sample: doc_id, sample (from 1), n_tokens, ids_crc32, log_prob, log_inclusion, round_trip (whether the
     ids spell the text) and, with ``keep_ids``, ids."""
     rows = docs.select(F.col(key_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
