@@ -93,8 +93,7 @@ def _price(value: np.ndarray, capacity: int) -> list[int]:
     return out
 
 
-def solve(histogram: dict[int, int], capacity: int, step: float = 1.0, rate: float = 1.0,
-          lean: float = 1.0, rounds: int = 3000) -> list[tuple[tuple[int, ...], int]]:
+def solve(histogram: dict[int, int], capacity: int, rate: float = 1.0, lean: float = 1.0, rounds: int = 3000) -> list[tuple[tuple[int, ...], int]]:
     """``[(lengths of one sequence, how many such sequences)]`` that places every piece exactly once."""
     need = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in histogram.items():
@@ -114,6 +113,7 @@ def solve(histogram: dict[int, int], capacity: int, step: float = 1.0, rate: flo
     base = share * (1 + lean * share)  # a little more for long pieces, which are the hardest to place
     value = np.where(need > 0, base, -np.inf)
     covered, steps = np.zeros(capacity + 1), Counter()
+    step = min(1.0, max(0.05, len(lengths) / 600))  # of the least need a configuration meets: few lengths, small steps
     for _ in range(rounds):
         if (covered[lengths] >= need[lengths]).all():
             break
@@ -124,7 +124,7 @@ def solve(histogram: dict[int, int], capacity: int, step: float = 1.0, rate: flo
             covered[k] += a * size
             value[k] *= np.exp(-rate * a * size / need[k])
 
-    # rounding: whole steps, fullest configurations first
+    # rounding: whole steps without what covers a length twice, fullest configurations first
     left = need.copy()
 
     def place(config: tuple[int, ...], most: int | None) -> None:
@@ -137,7 +137,7 @@ def solve(histogram: dict[int, int], capacity: int, step: float = 1.0, rate: flo
                 left[k] -= a * n
 
     for config, size in sorted(steps.items(), key=lambda x: (-sum(x[0]), tuple(-k for k in x[0]))):
-        place(config, int(size))
+        place(config, int(size * min(1.0, *(need[k] / covered[k] for k in config))))
 
     # what is left: priced anew on the remaining counts
     while left.any():
@@ -193,9 +193,10 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
     by_part = cut.groupBy("length", "part").count()
     histogram = {r["length"]: r["n"] for r in by_part.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     slots = _Slots(solve(histogram, capacity))
-    first = by_part.select(
+    # stored, so that Spark knows its true size: a broadcast while it is small, else a shuffled join
+    first = stored(by_part.select(
         "length", "part",
-        (F.sum("count").over(Window.partitionBy("length").orderBy("part")) - F.col("count")).alias("before"))
+        (F.sum("count").over(Window.partitionBy("length").orderBy("part")) - F.col("count")).alias("before")), "ranks")
     ranked = (cut.join(first, ["length", "part"])
               .withColumn("rank", F.col("before") + F.col("nth")).drop("before", "part", "nth"))
     names = [c for c in cut.columns if c not in ("part", "nth")]
