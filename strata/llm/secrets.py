@@ -1,7 +1,7 @@
 """Secret scanning: fixed patterns, and character Markov models of random strings and ordinary identifiers.
 
-Everything runs as DataFrame expressions.  The patterns give the base spans.  Further candidates are tokens of 16 or more
-characters with a letter and a digit; a token is a secret where the log-likelihood ratio of two first-order character
+Everything runs as DataFrame expressions.  The patterns give the base spans.  Further candidates are tokens of 10 or more
+characters, of whatever kind; a token is a secret where the log-likelihood ratio of two first-order character
 models, one of random strings and one of ordinary identifiers, is at least ``min_ratio`` per character.  Both models
 are trained from a labelled sample (token, secret or not): character transitions are counted in Spark, and two tables of
 65 x 65 counts reach the driver.
@@ -22,7 +22,7 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # the runs of [0-9a-f]+ with 24 or more characters
 KINDS = ("assign", "access", "hex", "markov")
-CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+CANDIDATE = r"[A-Za-z0-9+/_=-]{10,}"
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _SPAN = "struct<start:int,end:int,kind:int>"
 _SPANS = f"array<{_SPAN}>"
@@ -70,7 +70,8 @@ def _ordered(spans: Column) -> Column:
 def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     max_docs: int = 20_000) -> DataFrame:
     """``token, secret`` from about ``max_docs`` documents chosen by id hash: what the fixed patterns find is a
-    secret; other words of five or more characters with a letter are ordinary identifiers."""
+    secret; other words of five or more characters are ordinary identifiers, numbers and marks among them, since the
+    ratio judges those too."""
     total = docs.count()
     share = min(1.0, max_docs / max(total, 1))
     part = docs.filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(share * (1 << 20)))
@@ -78,8 +79,7 @@ def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hits = F.concat(*(F.regexp_extract_all(text, F.lit(p), F.lit(g)) for p, g in ((ASSIGN, 2), (ACCESS, 0), (HEX, 0))))
     secrets = F.filter(hits, lambda v: F.length(v) >= 16)
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, ASSIGN, " "), ACCESS, " "), HEX, " ")
-    words = F.filter(F.regexp_extract_all(rest, F.lit(r"[A-Za-z0-9+/_=-]{5,}"), F.lit(0)),
-                     lambda v: v.rlike("[A-Za-z]"))
+    words = F.regexp_extract_all(rest, F.lit(r"[A-Za-z0-9+/_=-]{5,}"), F.lit(0))
     return part.select(F.explode(F.array(F.struct(F.lit(True).alias("secret"), secrets.alias("tokens")),
                                          F.struct(F.lit(False).alias("secret"), words.alias("tokens")))).alias("s")) \
         .select("s.secret", F.explode("s.tokens").alias("token"))
@@ -133,8 +133,7 @@ def scan(docs: DataFrame, model: list[float], min_ratio: float = 1.0, text_col:
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.withColumn(out_col, base_spans(text))
-    more = _walk(text, CANDIDATE, 0, lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]")
-                 & (_ratio(v, model) >= F.lit(min_ratio)), 3)
+    more = _walk(text, CANDIDATE, 0, lambda v: _ratio(v, model) >= F.lit(min_ratio), 3)
     free = F.filter(more, lambda c: ~F.exists(out_col, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
     return base.withColumn(out_col, F.concat(F.col(out_col), free)).withColumn(out_col, _ordered(F.col(out_col)))
 

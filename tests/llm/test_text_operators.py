@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 import zlib
 
 import duckdb
@@ -306,6 +307,24 @@ def test_secret_spans_and_masks(spark, odd_docs, no_docs):
     assert max(map(abs, secrets.train(secrets.labelled_sample(no_docs)))) < 1e-9
 
 
+def test_random_strings_without_a_digit_or_short(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    rng, both = random.Random(2), string.ascii_letters + string.digits
+    kinds = [(both, 12, 0.95), (both, 15, 0.95), (string.ascii_letters, 20, 0.95), (string.ascii_lowercase, 24, 0.85)]
+    tokens = [(k, "".join(rng.choice(a) for _ in range(n))) for k, (a, n, _) in enumerate(kinds) for _ in range(300)]
+    # learned from half of the documents, tried on the words of the other half
+    model = secrets.train(secrets.labelled_sample(docs.filter("doc_id % 2 = 0")))
+    df = spark.createDataFrame([(k, f"see {t} there") for k, t in tokens], "kind int, text string")
+    found = {}
+    for r in secrets.scan(df, model).collect():
+        found.setdefault(r["kind"], []).append([(s["start"], s["kind"]) for s in r["secret_spans"]] == [(4, 3)])
+    assert all(np.mean(found[k]) >= least for k, (_, _, least) in enumerate(kinds))
+    rest = docs.filter("doc_id % 2 = 1")
+    spans = [s for r in secrets.scan(rest, model).collect() for s in r["secret_spans"] if s["kind"] == 3]
+    words = sum(len(re.findall("[A-Za-z0-9+/_=-]{10,}", r["text"] or "")) for r in rest.collect())
+    assert len(spans) <= 0.001 * words
+
+
 # ------------------------------------------------------------------ segmentation
 def test_segmentations(spark, texts, odd_docs, no_docs):
     path = vocabulary_path("piece_bpe_32k.model")
