@@ -35,9 +35,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out lines that more than a twentieth of a source's different texts contain; every document stays.
 
-    Copies count once: near-dedup, which comes next, keeps one of them, and its text must be whole.
+    Copies count once: near-dedup, which comes next, keeps one of them, and its text must be whole.  Three different texts
+    prove that a line is repeated, so that the ratio decides at small sources too.
     """
-    out = lines.line_dedup(docs.withColumn(_OLD, F.col("text")), host_col="source", ratio=0.05, min_pages=10, once=True)
+    out = lines.line_dedup(docs.withColumn(_OLD, F.col("text")), host_col="source", ratio=0.05, min_pages=3, once=True)
     return _recounted(out, docs)
 
 

@@ -78,7 +78,15 @@ def test_line_stage_keeps_the_text_of_copies(spark):
     rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
     cleaned = pipeline.stored(pipeline.drop_boilerplate(spark, docs, SF), "lines")
     out = {r["doc_id"]: r["text"] for r in cleaned.collect()}
-    assert out == _without_boilerplate(rows, 10)
+    assert out == _without_boilerplate(rows, 3)
     assert out[1000] == dict((i, t) for i, t, _ in rows)[1000] and "footer of big" not in out[7]
     kept = {r["text"] for r in pipeline.drop_near_duplicates(spark, cleaned, SF).collect()}
     assert {out[1000], out[1001], out[3000]} <= kept  # one of each group of copies, with its whole text
+
+
+def test_line_stage_of_a_small_source(spark):
+    rows = [(i, f"{_prose(i)}\nfooter\nend {i}" + "\nof two" * (i < 2), "en", "small", 0) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r["doc_id"]: r["text"] for r in pipeline.drop_boilerplate(spark, docs, SF).collect()}
+    assert out == _without_boilerplate([(r[0], r[1], r[3]) for r in rows], 3)
+    assert "footer" not in out[5] and "of two" in out[0]
