@@ -3,7 +3,8 @@
 A text is the unit vector of its hashed character 2- and 3-grams (bytes of the lower-cased text, everything but letters as
 one space), weighted (1 + log count) x inverse document frequency.  Each language has several centroids, the means of
 clusters of its training vectors; a text takes the language of the centroid of greatest cosine.  It is rejected where it
-has no letter, or where the cosine is below what nearly all training vectors of that centroid reach.
+has no letter, or where the cosine is below what nearly all training vectors of that centroid reach (of its language,
+where the centroid has fewer than 100).
 
 Document frequencies cover every training row: each partition sums its own, Spark adds them up by n-gram bucket.
 Clusters are fitted on at most ``per_language`` rows of each language, chosen by id hash, one language per task.
@@ -81,14 +82,24 @@ def _document_frequency(texts: DataFrame) -> tuple[int, np.ndarray]:
     return int(total[0]), total[1:]
 
 
-def _clusters(vectors: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means from spread-out starts: centroids and the nearest one of each vector."""
-    mean = vectors.mean(axis=0)
-    starts = [int((vectors @ mean).argmax())]
+def _clusters(vectors: np.ndarray, k: int, rounds: int = 12, share: float = 0.02) -> tuple[np.ndarray, np.ndarray]:
+    """Spherical k-means from drawn starts: centroids and the nearest one of each vector.
+
+    Starts are drawn by their distance from those at hand (k-means++, fixed seed).  After half the rounds, clusters below
+    ``share`` of the vectors are merged into the others: they are outliers, not a part of the language.
+    """
+    rng = np.random.default_rng(0)
+    starts = [int(rng.integers(len(vectors)))]
     while len(starts) < min(k, len(vectors)):
-        starts.append(int((vectors @ vectors[starts].T).max(axis=1).argmin()))
+        away = np.maximum(1 - (vectors @ vectors[starts].T).max(axis=1), 0).astype(np.float64)
+        if away.sum() < 1e-6:
+            break
+        starts.append(int(rng.choice(len(vectors), p=away / away.sum())))
     centroids = vectors[starts]
-    for _ in range(rounds):
+    for i in range(rounds):
+        if i == rounds // 2:
+            sizes = np.bincount((vectors @ centroids.T).argmax(axis=1), minlength=len(centroids))
+            centroids = centroids[sizes >= min(share * len(vectors), sizes.max())]
         nearest = (vectors @ centroids.T).argmax(axis=1)
         sums = np.stack([vectors[nearest == i].sum(axis=0) if (nearest == i).any() else centroids[i]
                          for i in range(len(centroids))])
@@ -112,12 +123,15 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     drawn = drawn.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language).select("lang", "text")
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
-        vectors = np.stack([_weighted(ngram_counts(t), idf) for t in group["text"]])
+        # sorted: the drawn starts do not depend on the order of arrival
+        vectors = np.stack([_weighted(ngram_counts(t), idf) for t in sorted(group["text"])])
         centroids, nearest = _clusters(vectors, clusters)
         cosine = (vectors * centroids[nearest]).sum(axis=1)
+        own = [cosine[nearest == i] for i in range(len(centroids))]
+        own = [c if len(c) >= 100 else cosine for c in own]  # too few for a quantile: all of the language's
         return pd.DataFrame([{
             "lang": group["lang"].iloc[0], "centroid": c.astype("<f4").tobytes(),
-            "least": margin * float(np.quantile(cosine[nearest == i], 0.01)) if (nearest == i).any() else 0.0}
+            "least": margin * float(np.quantile(own[i], 0.01))}
             for i, c in enumerate(centroids)])
 
     # languages x clusters rows of 16 KB

@@ -32,6 +32,25 @@ def test_language_edge_cases(spark, odd_docs, no_docs):
     assert language.language_of(no_docs).count() == 0
 
 
+def test_outliers_are_no_clusters():
+    rng = np.random.default_rng(4)
+    x = np.zeros((400, 64), np.float32)
+    x[:, :40] = 1 + rng.normal(0, 0.2, (400, 40))
+    x[:200, :20] += 1
+    x[397:] = np.eye(64)[61:]  # three one-word texts
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    centroids, nearest = language._clusters(x, 4)
+    assert len(centroids) > 1 and np.bincount(nearest, minlength=len(centroids)).min() >= 8
+
+
+def test_a_lone_short_text_sets_no_limit(spark):
+    rows = [(i, " ".join(f"{a}{b}" for a in "wordlanguage"[i % 5:] for b in ("an", "ter", "ing")), "en")
+            for i in range(120)] + [(500, "Zyx.", "en"), (501, "Qvk.", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs)
+    assert max(model.least) < 0.25
+
+
 def test_quality_held_out(spark):
     label = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{SF}/labels.parquet'").fetchall())
     rows = queries()["op4_quality_classifier"](spark, SF).collect()
