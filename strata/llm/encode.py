@@ -1,126 +1,167 @@
-"""Whole texts to token ids with the ``tokenizers`` library, one library call per distinct chunk.
+"""Whole texts to the token ids that the ``tokenizers`` library gives with ``add_special_tokens=False``.
 
-A text is cut only where the tokenizer itself always cuts, so the ids of the chunks joined are the ids of the text:
+The library builds objects of its own for every token, which costs most of its time.  Where a vocabulary file is a plain
+byte-pair model whose merges are listed in the order of their ids, the same ids come from ``tiktoken`` over the file's
+own entries, and a call gives just the ids:
 
-* ``keep_space=True`` (byte-level vocabularies): a chunk is a run of white space and the run of other characters
-  that follows.  A token holds white space only at its start, and the split pattern looks ahead by one
-  character, never back.  Texts with U+001C to U+001F, which Python takes for white space and the tokenizer
-  does not, go to the library whole.
-* ``keep_space=False`` (vocabularies that drop white space): a chunk is a run without ASCII white space.
+* ``keep_space=True`` (byte-level vocabularies, nothing normalised): the whole text, split by the byte-level pattern.
+* ``keep_space=False`` (vocabularies of words with an end mark, lower case, white space dropped): the words that the
+  file's split pattern finds, each followed by one space, which stands for the end mark; words hold none of their own.
 
-A new chunk that is one word of Latin letters, maybe after a line feed and before some marks, falls into just these
-pre-tokens by the tokenizer's split pattern; the word goes straight to the library's model.  Every other new chunk
-goes through the whole library.  Chunks of up to 64 characters are remembered per Python worker in two bounded
-generations: when the young one is full it becomes the old one, and chunks met again move over.  That only decides how
-often the library is called, never the result.
+That is checked once per worker: the file's settings, the order of the merges, and probe strings.  Three kinds of text go
+through the whole library: texts with characters whose class has changed since Unicode 3.2 (libraries may differ
+in them), texts with very long white space (the splitter's stack), and texts that hold the string of an added token
+(the library gives it the token's id unless ``special_as_text``).
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import sys
+import unicodedata
+from array import array
 
 import numpy as np
-
-_WITH_SPACE = re.compile(r"\s*\S+|\s+")
-_WITHOUT_SPACE = re.compile(r"[^\t-\r ]+")
-_UNCLEAR = re.compile("[\x1c-\x1f]")
-_LONGEST_KEPT = 64
-# a line feed or not, a word of Latin letters, ASCII marks but the apostrophe
-_WORD = re.compile(r"(\n?)( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]{0,8})").fullmatch
-
-
-def _byte_letters() -> dict[int, str]:
+import regex
+
+# The split patterns of the two kinds of vocabulary, and the added strings' common start.
+_BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_END = "</w>"
+_LONG_SPACE = re.compile(r"\s{4096}")
+_PROBES = ("", " ", "a", "The quick brown fox's 12 tails, isn't it?", "  two  spaces\n\n\tand lines \r\n x ", "é ÿ ñandú ß",
+           "don't DON'T we'LL I'm", "a1b22c333", "==== --- !!!\n", "日本 你好", "x" * 70, "нет да ελα")
+
+
+def _settled() -> str:
+    """The inside of a character class: characters whose class is the same in Unicode 3.2 and now."""
+    out, start, last = [], None, None
+    for i in [9, 10, 13, *range(32, 0xD800), *range(0xE000, 0x10000)]:
+        c = chr(i)
+        old = unicodedata.ucd_3_2_0.category(c)
+        same = old == unicodedata.category(c) and old != "Cn" and (i < 127 or old != "Cc") and c not in "Σİ"
+        if same and start is not None and i == last + 1:
+            last = i
+        else:
+            if start is not None:
+                out.append(f"\\u{start:04x}-\\u{last:04x}")
+            start = last = i if same else None
+    return "".join(out) + (f"\\u{start:04x}-\\u{last:04x}" if start is not None else "")
+
+
+def byte_letters() -> dict[int, str]:
     """The letter that byte-level vocabularies write for each byte: itself if printable, else the next from U+0100."""
     printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     rest = [b for b in range(256) if b not in printable]
-    return {b: chr(0x100 + i) for i, b in enumerate(rest)}
+    return {b: chr(b) for b in printable} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
 
+def token_bytes(path: str) -> list[bytes]:
+    """Of a byte-level vocabulary file: the bytes of every id; added tokens are the bytes of their string."""
+    spec, byte_of = json.load(open(path, encoding="utf-8")), {c: b for b, c in byte_letters().items()}
+    of = {i: bytes(map(byte_of.__getitem__, token)) for token, i in spec["model"]["vocab"].items()}
+    of |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+    return [of.get(i, b"") for i in range(max(of) + 1)]
 
-_LETTERS = _byte_letters()
+
+def _packed(ids: list[int]) -> bytes:
+    own = array("I", ids)
+    return own.tobytes() if own.itemsize == 4 and sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
 
 
 class Encoder:
     """``encode(text)`` gives the ids as little-endian unsigned 32-bit integers in one ``bytes``."""
 
-    def __init__(self, path: str, keep_space: bool, max_entries: int = 400_000):
+    def __init__(self, path: str, keep_space: bool, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tokenizer.encode_special_tokens = special_as_text
         self._keep_space = keep_space
-        self._chunks = (_WITH_SPACE if keep_space else _WITHOUT_SPACE).findall
-        self._known: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
-        self._max = max_entries // 2
-        self._model = self._tokenizer.model.tokenize
-        self._marks: dict[str, bytes] = {}
-
-    def _mark(self, marks: str) -> bytes:
-        if marks not in self._marks:
-            self._marks[marks] = self._ids([marks])[0]
-        return self._marks[marks]
-
-    def _words(self, found: list[tuple[str, str, str]]) -> list[bytes]:
-        """Ids of (line feed, word, marks), the words' from the model."""
-        text = "\n".join([w for _, w, _ in found])
-        text = text if self._keep_space else text.lower()
-        words = text.encode().decode("latin-1").translate(_LETTERS).split(_LETTERS[10])
-        tokens = [self._model(w) for w in words]
-        raw = np.array([t.id for ts in tokens for t in ts], dtype="<u4").tobytes()
-        out, at = [], 0
-        for ts, (lead, _, marks) in zip(tokens, found):
-            end = at + 4 * len(ts)
-            out.append(self._mark(lead) + raw[at:end] + self._mark(marks) if lead or marks else raw[at:end])
-            at = end
-        return out
-
-    def _new(self, chunks: list[str]) -> dict[str, bytes]:
-        words, found, others = [], [], []
-        for c in chunks:
-            m = _WORD(c)
-            if m:
-                words.append(c)
-                found.append(m.groups())
+        self._plain = re.compile(f"[{_settled()}]*").fullmatch
+        self._words = regex.compile(_WORDS).findall
+        spec = json.load(open(path, encoding="utf-8"))
+        added = [re.escape(t["content"]) for t in spec["added_tokens"]]
+        self._added = re.compile("|".join(added)).search if added and not special_as_text else lambda text: None
+        self._fast = self._bytes_model(spec)
+        if self._fast and any(self._ids(t) != self._library(t) for t in _PROBES):
+            self._fast = None
+
+    def _bytes_model(self, spec):
+        """The file's entries as a model over bytes, or None where the file says anything else than expected."""
+        import tiktoken
+
+        model, split = spec["model"], spec["pre_tokenizer"] or {}
+        settings = {k: v for k, v in model.items() if k not in ("type", "vocab", "merges", "end_of_word_suffix") and v}
+        end = model.get("end_of_word_suffix")
+        if self._keep_space:
+            known = (spec["normalizer"] is None and end is None and split.get("type") == "ByteLevel"
+                     and split["use_regex"] and not split["add_prefix_space"])
+        else:
+            parts = split.get("pretokenizers", [])
+            steps = [(n["type"], n.get("content")) for n in (spec["normalizer"] or {}).get("normalizers", [])]
+            known = (end == _END and steps == [("NFC", None), ("Replace", " "), ("Lowercase", None)]
+                     and [p["type"] for p in parts] == ["Split", "ByteLevel"]
+                     and parts[0]["pattern"] == {"Regex": _WORDS} and parts[0]["behavior"] == "Removed"
+                     and parts[0]["invert"] and not parts[1]["use_regex"] and not parts[1]["add_prefix_space"])
+        if model["type"] != "BPE" or settings or not known:
+            return None
+        byte_of = {c: b for b, c in byte_letters().items()}
+
+        def raw(token):
+            word = token.removesuffix(_END) if end else token
+            return bytes(map(byte_of.__getitem__, word)) + (b" " if word != token else b"")
+
+        vocab = model["vocab"]
+        merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        ranks = {raw(token): i for token, i in vocab.items()}
+        if merged != sorted(merged) or len(ranks) != len(vocab):
+            return None
+        return tiktoken.Encoding("file", pat_str=_BYTE_LEVEL if self._keep_space else "[^ ]+ ", mergeable_ranks=ranks,
+                                 special_tokens={})
+
+    def _library(self, text: str) -> list[int]:
+        return self._tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _ids(self, text: str) -> list[int]:
+        if self._keep_space:
+            return self._fast.encode_ordinary(text)
+        return self._fast.encode_ordinary(" ".join(self._split(text.lower())))
+
+    def _split(self, text: str) -> list[str]:
+        """The pieces of the split pattern; white space is in none, so most are told without the pattern."""
+        out = []
+        for chunk in text.split():
+            if chunk.isalpha():
+                out.append(chunk)
+            elif chunk[:-1].isalpha():
+                out += (chunk[:-1], chunk[-1])
             else:
-                others.append(c)
-        out = dict(zip(words, self._words(found))) if words else {}
-        if others:
-            out.update(zip(others, self._ids(others)))
+                out += self._words(chunk)
+        out.append("")
         return out
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        out = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in out]
+    def ids(self, text: str | None) -> list[int]:
+        if not text:
+            return []
+        if self._fast is None or not self._plain(text) or _LONG_SPACE.search(text) or self._added(text) or not (
+                self._keep_space or unicodedata.is_normalized("NFC", text)):
+            return self._library(text)
+        return self._ids(text)
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if self._keep_space and _UNCLEAR.search(text):
-            return self._ids([text])[0]
-        chunks = self._chunks(text)
-        try:
-            return b"".join(map(self._known.__getitem__, chunks))
-        except KeyError:
-            pass
-        if len(self._known) >= self._max:
-            self._older, self._known = self._known, {}
-        if len(self._marks) >= self._max:
-            self._marks.clear()
-        new = [c for c in dict.fromkeys(chunks) if c not in self._known]
-        again = {c: self._older[c] for c in new if c in self._older}
-        at_hand = again | self._new([c for c in new if c not in again])
-        self._known.update((c, b) for c, b in at_hand.items() if len(c) <= _LONGEST_KEPT)
-        return b"".join([at_hand[c] if c in at_hand else self._known[c] for c in chunks])
-
-
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
-
-
-def encoder(path: str, keep_space: bool) -> Encoder:
+        return _packed(self.ids(text))
+
+
+_ENCODERS: dict[tuple[str, bool, bool], Encoder] = {}
+
+
+def encoder(path: str, keep_space: bool, special_as_text: bool = False) -> Encoder:
     """The worker's encoder for this vocabulary; loaded once per Python worker."""
-    key = (path, keep_space)
+    key = (path, keep_space, special_as_text)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, keep_space)
+        _ENCODERS[key] = Encoder(*key)
     return _ENCODERS[key]
