@@ -45,12 +45,15 @@ def piece_bytes(processor) -> list[bytes]:
 
 @dataclass
 class Aligned:
-    """One text: ids of both sides, the groups of their tokens, and the links as places of tokens."""
+    """One text: ids of both sides, the group of each token, which tokens are in regular groups (one against one, of
+    the same bytes), and the links of the others as places of tokens."""
 
     a: np.ndarray
     b: np.ndarray
     group_a: np.ndarray
     group_b: np.ndarray
+    regular_a: np.ndarray
+    regular_b: np.ndarray
     link_a: np.ndarray
     link_b: np.ndarray
 
@@ -58,6 +61,18 @@ class Aligned:
     def groups(self) -> int:
         return int(self.group_a[-1]) + 1 if len(self.a) else 0
 
+    @property
+    def ids(self) -> np.ndarray:
+        """First ids of the regular groups; each group is one link."""
+        return self.a[self.regular_a]
+
+    def codes(self, width: int) -> np.ndarray:
+        """Both ids of each link of the irregular groups, as one number."""
+        return self.a[self.link_a] * width + self.b[self.link_b]
+
+
+_NOTHING = Aligned(*(np.empty(0, np.int64),) * 4, *(np.empty(0, bool),) * 2, *(np.empty(0, np.int64),) * 2)
+
 
 class Pair:
     """Both vocabularies in a worker: ids, byte lengths, the map of same bytes, and the digest's strings."""
@@ -78,38 +93,47 @@ class Pair:
         self.same = np.array([by_bytes.get(raw, -1) for raw in self.bytes_a], np.int64)
         self.width = len(self.bytes_b)
         a, b = range(len(self.bytes_a)), range(self.width)
-        # per id and whether it ends its side of a group
-        self.words = [f"{i}," for i in a] + [f"{i}|" for i in a] + [f"{i}," for i in b] + [f"{i};" for i in b]
+        # per id and whether it ends its side of a group; last, per id a whole regular group
+        self.words = ([f"{i}," for i in a] + [f"{i}|" for i in a] + [f"{i}," for i in b] + [f"{i};" for i in b]
+                      + [f"{i}|{j};" for i, j in enumerate(self.same.tolist())])
 
     def ids(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both, or None where there is no text or one of them spells other bytes."""
         if not text:
             return None
         raw = b" " + text.encode()
-        a = self.first.ids(" " + text)
         b = self.second.encode(text)
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+        if b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+            return None
+        a = np.frombuffer(self.first.encode(" " + text), "<u4").astype(np.int64)
+        if self.length_a[a].sum() != len(raw):  # a byte-level vocabulary spells every text, unless it is cut short
             return None
-        return np.array(a, np.int64), np.array(b, np.int64)
+        return a, np.array(b, np.int64)
 
     def align(self, text: str | None) -> Aligned:
         found = self.ids(text)
         if found is None:
-            return Aligned(*(np.empty(0, np.int64),) * 6)
+            return _NOTHING
         a, b = found
         end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         # a token is in the group of the first common end at or after its own end
         shared = np.zeros(end_a[-1] + 1, bool)
         shared[end_b] = True
-        cuts = end_a[shared[end_a]]
-        group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+        cuts = shared[end_a]
+        group_a = np.cumsum(cuts) - cuts
+        group_b = np.searchsorted(end_a[cuts], end_b)
+        alone = (np.bincount(group_a) == 1) & (np.bincount(group_b) == 1)
+        regular_a, regular_b = alone[group_a], alone[group_b]
+        like = self.same[a[regular_a]] == b[regular_b]
+        regular_a[regular_a], regular_b[regular_b] = like, like
         # tokens of b that overlap a token of a are neighbours: from the one that holds its first byte on
-        first = np.searchsorted(end_b, end_a - self.length_a[a], side="right")
-        last = np.searchsorted(end_b, end_a, side="left")
-        times = last - first + 1
-        link_a = np.repeat(np.arange(len(a)), times)
-        link_b = np.arange(len(link_a)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first, times)
-        return Aligned(a, b, group_a, group_b, link_a, link_b)
+        of_a, of_b = np.flatnonzero(~regular_a), np.flatnonzero(~regular_b)
+        ends = end_b[of_b]
+        first = np.searchsorted(ends, end_a[of_a] - self.length_a[a[of_a]], side="right")
+        times = np.searchsorted(ends, end_a[of_a], side="left") - first + 1
+        link_a = np.repeat(of_a, times)
+        link_b = of_b[np.arange(len(link_a)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first, times)]
+        return Aligned(a, b, group_a, group_b, regular_a, regular_b, link_a, link_b)
 
     def digest(self, x: Aligned) -> str:
         """SHA-256 of the groups as ``a1,a2|b1;a3|b2,b3``; empty without tokens."""
@@ -117,22 +141,15 @@ class Pair:
             return ""
         n, m = len(self.bytes_a), self.width
         last_a, last_b = np.append(np.diff(x.group_a) > 0, True), np.append(np.diff(x.group_b) > 0, True)
-        # in order of group, a before b: every token's place is how many stand before it on either side
-        place_a = np.arange(len(x.a)) + np.searchsorted(x.group_b, x.group_a, side="left")
-        place_b = np.arange(len(x.b)) + np.searchsorted(x.group_a, x.group_b, side="right")
-        words = np.empty(len(x.a) + len(x.b), np.int64)
-        words[place_a] = x.a + n * last_a
-        words[place_b] = 2 * n + x.b + m * last_b
+        # in order of group, a before b; a regular group is one word, at the place of its token of a
+        b, group_b, last_b = x.b[~x.regular_b], x.group_b[~x.regular_b], last_b[~x.regular_b]
+        place_a = np.arange(len(x.a)) + np.searchsorted(group_b, x.group_a, side="left")
+        place_b = np.arange(len(b)) + np.searchsorted(x.group_a, group_b, side="right")
+        words = np.empty(len(x.a) + len(b), np.int64)
+        words[place_a] = np.where(x.regular_a, 2 * n + 2 * m + x.a, x.a + n * last_a)
+        words[place_b] = 2 * n + b + m * last_b
         return hashlib.sha256("".join(map(self.words.__getitem__, words.tolist()))[:-1].encode()).hexdigest()
 
-    def regular(self, x: Aligned) -> np.ndarray:
-        """Per link: whether its group is one token on both sides and the array of same bytes maps one to the other."""
-        if not len(x.a):
-            return np.empty(0, bool)
-        size_a, size_b = np.bincount(x.group_a), np.bincount(x.group_b)
-        alone = ((size_a == 1) & (size_b == 1))[x.group_a[x.link_a]]
-        return alone & (self.same[x.a[x.link_a]] == x.b[x.link_b])
-
 
 _PAIRS: dict[tuple[str, str], Pair] = {}
 
@@ -145,17 +162,6 @@ def pair(path_a: str, path_b: str) -> Pair:
     return _PAIRS[key]
 
 
-def _counted(codes: np.ndarray) -> tuple[bytes, bytes]:
-    values, times = np.unique(codes, return_counts=True)
-    return values.astype("<i8").tobytes(), times.astype("<i8").tobytes()
-
-
-def _add(total: dict[int, int], codes: np.ndarray) -> None:
-    values, times = np.unique(codes, return_counts=True)
-    for v, n in zip(values.tolist(), times.tolist()):
-        total[v] = total.get(v, 0) + n
-
-
 def _first_pass(docs: DataFrame, path_a: str, path_b: str, id_type: str) -> DataFrame:
     """One row per document (kind 0), one per block with its irregular pairs (1), one per task with its vector (2)."""
     schema = (f"kind int, block long, doc_id {id_type}, n_a long, n_b long, n_groups long, n_links long, "
@@ -174,12 +180,13 @@ def _first_pass(docs: DataFrame, path_a: str, path_b: str, id_type: str) -> Data
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1).to_pylist()):
                 x = both.align(text)
-                plain = both.regular(x)
-                ids, codes = x.a[x.link_a[plain]], x.a[x.link_a[~plain]] * both.width + x.b[x.link_b[~plain]]
-                vector += np.bincount(ids, minlength=len(vector))
-                _add(irregular, codes)
-                out.append((_DOCUMENT, task + number, doc_id.as_py(), len(x.a), len(x.b), x.groups, len(x.link_a),
-                            both.digest(x), *_counted(ids), *_counted(codes)))
+                ids, codes = np.unique(x.ids, return_counts=True), np.unique(x.codes(both.width), return_counts=True)
+                vector[ids[0]] += ids[1]
+                for code, n in zip(*map(np.ndarray.tolist, codes)):
+                    irregular[code] = irregular.get(code, 0) + n
+                out.append((_DOCUMENT, task + number, doc_id.as_py(), len(x.a), len(x.b), x.groups,
+                            int(ids[1].sum()) + len(x.link_a), both.digest(x),
+                            *(v.astype("<i8").tobytes() for v in (*ids, *codes))))
                 size += len(text or "")
                 if size >= _BLOCK_BYTES or len(out) >= 4000:
                     out.append(_block(irregular, task + number))

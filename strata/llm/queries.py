@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import align, exact, frames, language, lines, neighbours, packing, quality, secrets, segment, simhash
+from strata.llm import align, collocations, exact, frames, language, lines, neighbours, packing, quality, secrets, segment, simhash
 from strata.llm.common import table, vocabulary_path
 from strata.session import new_run_dir
 
@@ -66,6 +66,10 @@ def op10_sampled_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.sampled(table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"), k=2)
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, limit=2000)
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"),
                        vocabulary_path("piece_bpe_32k.model"))
@@ -75,7 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_best_fit_packing, op2_nearest_neighbours, op3_simhash_near_dedup, op4_quality_classifier, op5_token_frames,
         op6_language_id, op7_exact_dedup, op8_line_dedup, op9_secret_scan, op10_sampled_segmentation,
-        op12_token_alignment)}
+        op12_token_alignment, op13_phrase_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -102,4 +106,31 @@ def oracle_sql() -> dict[str, str]:
                    CAST(CASE WHEN dropped IS NULL OR text IS NULL THEN 0 ELSE len(parts) - len(rest) END AS INTEGER)
                      AS n_dropped
             FROM kept""",
+        "op13_phrase_collocations": r"""
+            WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS s
+                           FROM documents),
+            spoken AS (SELECT lang, list_filter(regexp_split_to_array(s, '[\x20\x09]+'), lambda x: x <> '') AS w
+                       FROM piece),
+            start AS (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i
+                      FROM spoken, (VALUES (1), (2), (3), (4)) AS sizes(k)),
+            counted AS MATERIALIZED (SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS n
+                                     FROM start GROUP BY 1, 2, 3),
+            total AS (SELECT lang, sum(n) AS n FROM counted WHERE k = 1 GROUP BY lang),
+            candidate AS MATERIALIZED (SELECT * FROM counted WHERE k > 1 AND n >= 30),
+            place AS (SELECT lang, phrase, k, n, unnest(range(1, k)) AS j FROM candidate),
+            cut AS (SELECT *, array_to_string(list_slice(string_split(phrase, ' '), 1, j), ' ') AS p1,
+                           array_to_string(list_slice(string_split(phrase, ' '), j + 1, k), ' ') AS p2 FROM place),
+            scored AS (SELECT cut.lang, cut.phrase, cut.k, cut.n AS a, x.n AS l, y.n AS r,
+                              (2000000 * cut.n::HUGEINT) // (x.n + y.n) AS score, cut.j
+                       FROM cut JOIN counted x ON x.lang = cut.lang AND x.phrase = cut.p1
+                                JOIN counted y ON y.lang = cut.lang AND y.phrase = cut.p2),
+            lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+            kept AS (SELECT * FROM lowest c WHERE NOT EXISTS (
+                       SELECT 1 FROM candidate d WHERE d.lang = c.lang AND d.k > c.k AND 100 * d.n >= 80 * c.a
+                         AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ')))
+            SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+                   phrase, a, l, r, CAST(total.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+            FROM kept JOIN total ON total.lang = kept.lang
+            QUALIFY rank <= 2000""",
     }
