@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import align, collocations, exact, frames, language, lines, neighbours, packing, quality, secrets, segment, simhash
+from strata.llm import (align, collocations, exact, frames, language, lines, neighbours, packing, quality, secrets, segment,
+                        simhash, toxicity)
 from strata.llm.common import table, vocabulary_path
 from strata.session import new_run_dir
 
@@ -70,6 +71,10 @@ def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), least=30, limit=2000)
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"),
                        vocabulary_path("piece_bpe_32k.model"))
@@ -79,7 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_best_fit_packing, op2_nearest_neighbours, op3_simhash_near_dedup, op4_quality_classifier, op5_token_frames,
         op6_language_id, op7_exact_dedup, op8_line_dedup, op9_secret_scan, op10_sampled_segmentation,
-        op12_token_alignment, op13_phrase_collocations)}
+        op11_toxicity, op12_token_alignment, op13_phrase_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
