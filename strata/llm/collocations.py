@@ -23,6 +23,7 @@ occur; a language with no candidate, and an empty table, give no rows; words of
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 
@@ -30,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import map_arrow, ship, stored
@@ -38,32 +39,69 @@ from strata.llm.common import map_arrow, ship, stored
 LONGEST = 4
 # What separates pieces, and what separates words in a piece.
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
-_TOKENS = re.compile(rb"[^\x20\x09.,;:!?\x0A-\x0D]+|[.,;:!?\x0A-\x0D]+").findall
+_TOKENS = re.compile(rb"[^\x20\x09.,;:!?\x0A-\x0D]+").findall
 _AT_BREAK = re.compile(rb"[.,;:!?\x0A-\x0D]").search
 _CHUNK = 4 << 20  # bytes of text in work at a time; cut at a break only
 _HELD = 400_000  # counts a task holds before it hands them on
-_KEPT_WORDS = 500_000
 _MULTIPLIERS = tuple(np.uint64(xxhash.xxh64_intdigest(b"place", seed=i) | 1) for i in range(LONGEST))
 _MIX = np.uint64(xxhash.xxh64_intdigest(b"mix", seed=0) | 1)
 SUPPORTED, GROWS, REACHES = 1, 2, 4  # flags of a phrase
 
 
-class _Hashes(dict):
-    """Hash of each word of a language (0 for breaks); remembers the short ones, a bounded number of them."""
+_SPACE, _BREAK = 1, 2
+_KIND = np.zeros(256, np.uint8)
+_KIND[[0x20, 0x09]] = _SPACE
+_KIND[list(_BREAKS)] = _BREAK
 
-    def __init__(self, lang: str):
-        super().__init__()
-        self.seed = xxhash.xxh64_intdigest(lang.encode())
 
-    def __missing__(self, token: bytes) -> int:
-        if token[0] in _BREAKS:
-            return 0
-        value = xxhash.xxh3_64_intdigest(token, seed=self.seed) or 1
-        if len(token) <= 40:
-            if len(self) >= _KEPT_WORDS:
-                self.clear()
-            self[token] = value
-        return value
+@functools.lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd multiplier and of its inverse, modulo 2 ** 64."""
+    base = int(_MULTIPLIERS[0])
+    both = (base, pow(base, -1, 1 << 64))
+    return tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, x, np.uint64)])) for x in both)
+
+
+class Words:
+    """The words of a run of text by where they start and end, a break between pieces as a word with the hash 0.
+
+    A word's hash is the sum of its bytes times powers of a multiplier, modulo 2 ** 64, out of running sums.
+    """
+
+    def __init__(self, lang: str, run: bytes):
+        self.raw = run
+        kind = _KIND[np.frombuffer(run, np.uint8)]
+        inside = np.concatenate([[False], kind == 0, [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        start, end = edges[::2], edges[1::2]
+        n = len(run)
+        forth, back = _powers(1 << max(n, 1 << 16).bit_length())
+        sums = np.concatenate([[np.uint64(0)], np.cumsum((np.frombuffer(run, np.uint8).astype(np.uint64) + np.uint64(1))
+                                                         * forth[:n])])
+        value = (sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64) * _MIX
+        value ^= np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+        value *= _MIX
+        value ^= value >> np.uint64(32)
+        value *= _MULTIPLIERS[1]
+        value[value == 0] = 1
+        # a break stands where one lies between a word and the word before
+        breaks = np.concatenate([[0], np.cumsum(kind == _BREAK)])
+        parted = np.flatnonzero(breaks[start[1:]] != breaks[end[:-1]]) + 1
+        self.start = np.insert(start, parted, 0)
+        self.end = np.insert(end, parted, 0)
+        self.hashes = np.insert(value, parted, np.uint64(0))
+        self.next_to = (self.start[1:] - self.end[:-1] == 1)
+
+    def phrases(self, at: np.ndarray, k: int) -> list[bytes]:
+        """The windows of ``k`` words at ``at``, one space between words."""
+        near = np.logical_and.reduce([self.next_to[at + j] for j in range(k - 1)]) if k > 1 else np.ones(len(at), bool)
+        raw, out = self.raw, []
+        for i, x, y, plain in zip(at.tolist(), self.start[at].tolist(), self.end[at + k - 1].tolist(), near.tolist()):
+            phrase = raw[x:y]
+            if not plain or b"\t" in phrase:
+                phrase = b" ".join(raw[self.start[i + j]:self.end[i + j]] for j in range(k))
+            out.append(phrase)
+        return out
 
 
 def codes_of(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -107,20 +145,15 @@ def _chunks(texts: list[bytes]):
         yield b"\n".join(run)
 
 
-def _windows(batches):
-    """(language, tokens, hashes) of runs of text, breaks with the hash 0."""
-    memory: dict[str, _Hashes] = {}
+def _runs(batches):
+    """(language, run of text in lower case)."""
     for batch in batches:
         by_lang: dict[str, list[bytes]] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("raw").to_pylist()):
             by_lang.setdefault(lang, []).append(text.lower())  # of bytes: A to Z only
         for lang, texts in by_lang.items():
-            if len(memory) > 64:
-                memory.clear()
-            hashes = memory.setdefault(lang, _Hashes(lang))
             for run in _chunks(texts):
-                tokens = _TOKENS(run)
-                yield lang, tokens, np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
+                yield lang, run
 
 
 def _whole(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -138,7 +171,8 @@ def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
 
 
 def _count_phrases(texts: DataFrame, k: int, wanted) -> DataFrame:
-    """(lang, phrase, n) of the windows of ``k`` words that ``wanted`` (hashes -> mask over the windows) accepts."""
+    """(lang, phrase, n) of the windows of ``k`` words that ``wanted`` (hashes -> mask over the windows) accepts; without
+    it, of all single words."""
     def run(batches):
         held: dict[str, Counter] = {}
 
@@ -149,15 +183,14 @@ def _count_phrases(texts: DataFrame, k: int, wanted) -> DataFrame:
                      pa.array(list(counts.values()), pa.int64())], names=["lang", "phrase", "n"])
             held.clear()
 
-        for lang, tokens, hashes in _windows(batches):
-            at = np.flatnonzero(_whole(hashes, k) & wanted(hashes)).tolist()
+        for lang, run in _runs(batches):
             counts = held.setdefault(lang, Counter())
-            if k == 1:
-                counts.update(map(tokens.__getitem__, at))
-            elif k == 2:
-                counts.update([tokens[i] + b" " + tokens[i + 1] for i in at])
+            if wanted is None:
+                counts.update(_TOKENS(run))
             else:
-                counts.update([b" ".join(tokens[i:i + k]) for i in at])
+                words = Words(lang, run)
+                if len(words.hashes) >= k:
+                    counts.update(words.phrases(np.flatnonzero(_whole(words.hashes, k) & wanted(words.hashes)), k))
             if sum(map(len, held.values())) >= _HELD:
                 yield from written()
         yield from written()
@@ -175,7 +208,8 @@ def _supported_pairs(texts: DataFrame, words: Gate, least: int) -> DataFrame:
             values, times = np.unique(np.concatenate(held), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(times)], names=["code", "n"])
 
-        for _, _, hashes in _windows(batches):
+        for lang, text in _runs(batches):
+            hashes = Words(lang, text).hashes
             if len(hashes) < 2:
                 continue
             frequent = words.has(hashes, SUPPORTED) & (hashes != 0)
@@ -198,12 +232,10 @@ def _with_codes(phrases: DataFrame) -> DataFrame:
 
     @F.pandas_udf("long")
     def code(lang: pd.Series, phrase: pd.Series) -> pd.Series:
-        memory, out = {}, []
+        out = []
         for x, p in zip(lang, phrase):
-            hashes = memory.setdefault(x, _Hashes(x))
-            words = p.encode().split(b" ")
-            h = np.array([hashes[w] for w in words], np.uint64)
-            out.append(codes_of(h, len(words)).view(np.int64)[0])
+            hashes = Words(x, p.encode()).hashes
+            out.append(codes_of(hashes, len(hashes)).view(np.int64)[0])
         return pd.Series(out, dtype="int64")
 
     return phrases.withColumn("code", code("lang", "phrase"))
@@ -285,7 +317,7 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     Order: score, then a, both descending, then the phrase in byte order.  A gate takes 2 ** ``gate_bits`` bytes in every task.
     """
     texts = _texts(docs, lang_col, text_col)
-    every = stored(_count_phrases(texts, 1, lambda hashes: np.ones(len(hashes), bool)), "words")
+    every = stored(_count_phrases(texts, 1, None), "words")
     totals = stored(every.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
     words = stored(every.filter(F.col("n") >= least), "frequent")
     word_gate = _gate(_with_codes(words).select("code", F.lit(SUPPORTED).alias("flags")), gate_bits)
