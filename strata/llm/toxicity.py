@@ -1,8 +1,8 @@
 """Toxicity: a support vector machine over a subsequence string kernel, with Nyström landmarks.
 
 A text is a bag of sentences, a sentence a set of units: its words in lower case, and runs of single
-characters joined ("i d i o t"), letters and digits only.  The kernel of two units is the normalised count of common subsequences of length 3
-(``LENGTHS``; the mean over them, if there are several), a gap of g characters weighing ``DECAY ** g``.  An insult with gaps or inserted characters therefore stays close
+characters joined ("i d i o t"), letters and digits only.  The kernel of two units is the mean, over lengths 2 and 3, of the
+normalised count of common subsequences, a gap of g characters weighing ``DECAY ** g``.  An insult with gaps or inserted characters therefore stays close
 to the plain one.  A unit's kernels with a fixed number of landmark units, whitened by the landmarks' own kernel
 matrix (Nyström), are its features.  A sentence's features are
 the sum of its units', so its margin is a sum as well, and each unit's part is worked out once in a worker.
@@ -14,7 +14,7 @@ toxic.  Each fit is a squared-hinge machine solved by Newton steps, whose sums (
 A text's score is a logistic function of its highest sentence margins, of the share of its sentences beyond zero and of its
 highest words, fitted on texts kept out of the machine.
 
-Units of more than 16 characters are read as windows of 16 that start every 8, so long strings are read whole at a cost
+Units of more than 20 characters are read as windows of 20 that start every 10, so long strings are read whole at a cost
 that grows with their length only.  Defined results: NULL and empty texts are scored like any text without units; rows with a NULL
 label or id are not learned from; without both labels every score is 0; repeated rows are scored each; an empty table
 gives no rows; only the named columns are read.
@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import map_arrow, stored
 from strata.llm.language import remainder
 
-LENGTHS, DECAY = (3,), 0.6
-_WIDE, _STEP = 16, 8
+LENGTHS, DECAY = (2, 3), 0.6
+_WIDE, _STEP = 20, 10
 _SENTENCES = re.compile(r"[.!?;\n\r]+(?=\s|$)|[\n\r]+").split
 _KEPT_UNITS = 600_000
 _TOP = 3  # margins of a text that its score sees
