@@ -424,6 +424,66 @@ def q_gold_subcent(spark, sf_dir):
         (F.col("l_quantity").cast("double") * F.lit(0.004)).alias("line_amount")))
 
 
+def q_gold_exact_sums(spark, sf_dir):
+    """Amounts from 4e-7 to 1e31 with mixed signs add up exactly, whatever the order of rows."""
+    line = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    # each huge amount meets its negative in its group, so that only the small ones are left of the sum
+    huge = F.array(*[F.lit(x) for x in (1e31, -1e31, 2.0 ** 80, -(2.0 ** 80))])
+    parts = line.select(F.col("l_shipdate").cast("date").alias("order_date"), F.col("l_returnflag").alias("channel"),
+                        F.col("l_linestatus").alias("payment_method"), F.col("l_orderkey").alias("order_id"),
+                        F.explode(F.concat(huge, F.array(F.col("l_quantity").cast("double") / 4, F.lit(2.0 ** -21))))
+                        .alias("line_amount"))
+    return gold.channel_mix(parts)
+
+
+def _text_events(spark, sf_dir):
+    """Events whose fields are all text, some of which say more than their type can hold."""
+    key = ("text_events", sf_dir)
+    if key not in _RUNS:
+        run = new_run_dir(spark, "text-events")
+        opts = IngestOptions(schema="event_id BIGINT, b BOOLEAN, d DATE, n TIMESTAMP_NTZ, m DECIMAL(12,2), f DOUBLE",
+                             evolution_mode="rescue")
+        kind, user = F.col("event_type"), F.col("user_id").cast("string")
+        day, time = F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+        _events(spark, sf_dir).select(
+            "event_id", F.when(kind == "error", "y").when(kind == "click", "true").otherwise("false").alias("b"),
+            F.when(kind == "signup", F.concat(day, F.lit("T10:11:12"))).otherwise(day).alias("d"),
+            F.when(kind == "view", F.concat(time, F.lit("+05:30"))).otherwise(time).alias("n"),
+            F.concat(user, F.when(kind == "error", ".239").otherwise(".250")).alias("m"),
+            F.concat(user, F.when(kind == "purchase", "x").otherwise(".50")).alias("f")).write.json(f"{run}/landing")
+        ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/state", opts)
+        _RUNS[key] = read_bronze(spark, f"{run}/bronze", f"{run}/state", opts)
+    return _RUNS[key]
+
+
+def q_bronze_lossless_text(spark, sf_dir):
+    """Text under BOOLEAN, DATE, TIMESTAMP_NTZ, DECIMAL and DOUBLE is typed where nothing is lost, else rescued."""
+    kept = F.from_json("_rescued_data", "b string, d string, n string, m string, f string")
+    return _text_events(spark, sf_dir).select(
+        "event_id", "b", "d", "n", F.col("m").cast("double").alias("m"), "f",
+        *[kept[c].alias(f"{c}_rescued") for c in ("b", "d", "n", "m", "f")])
+
+
+def q_expectations_after_reset(spark, sf_dir):
+    """Two updates, a reset and one more update; the counts are those of the present silver."""
+    key = ("reset", sf_dir)
+    if key not in _RUNS:
+        run = new_run_dir(spark, "reset")
+        p = _order_pipeline(spark, sf_dir, run)
+        events = adapter.order_events(spark, sf_dir)
+        part = F.pmod(F.col("order_id").cast("bigint"), F.lit(2)) == 0
+        events.filter(part).write.json(f"{run}/landing/stage1")
+        p.run_update(only=["bronze_orders", "silver_order_lines"])
+        events.filter(~part).write.json(f"{run}/landing/stage2")
+        p.run_update(only=["bronze_orders", "silver_order_lines"])
+        p.reset()
+        p.run_update(only=["bronze_orders", "silver_order_lines"])
+        _RUNS[key] = run
+    p = _order_pipeline(spark, sf_dir, _RUNS[key])
+    return (p.log.expectation_results().filter(F.col("status") == "COMPLETED")
+            .groupBy("expectation").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed")))
+
+
 def _lossless(spark, sf_dir):
     """Events landed under types that not every value fits: a fraction under BIGINT, a number under BOOLEAN, a nested key
     that the schema does not know."""
@@ -503,6 +563,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "pipeline_quarantine": q_pipeline_quarantine,
         "silver_order_lines_sql": q_silver_order_lines_sql,
         "gold_subcent": q_gold_subcent,
+        "gold_exact_sums": q_gold_exact_sums,
+        "bronze_lossless_text": q_bronze_lossless_text,
+        "expectations_after_reset": q_expectations_after_reset,
         "bronze_lossless": q_bronze_lossless,
         "bronze_replay": q_bronze_replay,
     }
@@ -644,6 +707,7 @@ def oracle_sql() -> dict[str, str]:
             FROM events""",
         "bronze_fail_on_new_columns": f"SELECT event_id, event_type FROM events WHERE ts < {evolve}",
         "event_log_sql": f"WITH {_CTE} {per_rule}",
+        "expectations_after_reset": f"WITH {_CTE} {per_rule}",
         "catalog_gold_channel_mix": gold_sql["gold_channel_mix"],
         "dimension_table": "SELECT n_nationkey AS store_id, n_name AS store_name, n_name AS city, r_name AS region "
                            "FROM nation LEFT JOIN region ON n_regionkey = r_regionkey",
@@ -655,6 +719,22 @@ def oracle_sql() -> dict[str, str]:
                    l_linestatus AS payment_method, count(DISTINCT l_orderkey) AS orders,
                    round(sum(l_quantity * 0.004), 2) AS revenue
             FROM lineitem GROUP BY ALL""",
+        "gold_exact_sums": """SELECT CAST(l_shipdate AS DATE) AS order_date, l_returnflag AS channel,
+                   l_linestatus AS payment_method, count(DISTINCT l_orderkey) AS orders,
+                   round(sum(l_quantity / 4) + count(*) * pow(2.0, -21), 2) AS revenue
+            FROM lineitem GROUP BY ALL""",
+        "bronze_lossless_text": """SELECT event_id,
+                   CASE event_type WHEN 'error' THEN NULL WHEN 'click' THEN true ELSE false END AS b,
+                   CASE WHEN event_type <> 'signup' THEN CAST(ts AS DATE) END AS d,
+                   CASE WHEN event_type <> 'view' THEN CAST(date_trunc('second', ts) AS TIMESTAMP) END AS n,
+                   CASE WHEN event_type <> 'error' THEN user_id + 0.25::DOUBLE END AS m,
+                   CASE WHEN event_type <> 'purchase' THEN user_id + 0.5::DOUBLE END AS f,
+                   CASE WHEN event_type = 'error' THEN 'y' END AS b_rescued,
+                   CASE WHEN event_type = 'signup' THEN strftime(ts, '%Y-%m-%d') || 'T10:11:12' END AS d_rescued,
+                   CASE WHEN event_type = 'view' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+05:30' END AS n_rescued,
+                   CASE WHEN event_type = 'error' THEN user_id || '.239' END AS m_rescued,
+                   CASE WHEN event_type = 'purchase' THEN user_id || 'x' END AS f_rescued
+            FROM events""",
         "bronze_lossless": """SELECT event_id, CASE WHEN value = floor(value) THEN CAST(value AS BIGINT) END AS value_typed,
                    CAST(NULL AS BOOLEAN) AS flag_typed, CAST(1 AS BIGINT) AS tag_k,
                    CASE WHEN value <> floor(value) THEN CAST(value AS DOUBLE) END AS value_rescued,

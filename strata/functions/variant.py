@@ -3,7 +3,7 @@
 Input rows carry the raw line and ``_v`` (``try_parse_json(line)``, VARIANT,
 NULL when the line is not valid JSON).  A value that is present but does not
 convert *losslessly* — at any depth, e.g. one element of ``items`` with
-``qty: "x"``, a fraction under an integer type, a number under BOOLEAN, a nested
+``qty: "x"``, a fraction under an integer type, a number under BOOLEAN, a time of day under DATE, a nested
 key the schema does not know — is kept whole in the rescue column, and its typed
 column has NULL in place of what would have been changed.  Unknown top-level keys
 are rescued as well.  Lines that are not JSON objects go to the
@@ -35,11 +35,44 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
+def _text_lossless(text: Column, typed: Column, dtype: T.DataType) -> Column:
+    """Whether a string says no more than its typed value: the value written back is the string in its plain form.
+
+    Plain form: outer blanks and a boolean's case do not count; a number is the same number (an integer the same digits);
+    a date has no time of day; a time without seconds has none, a date alone is its midnight, zeros at the end of a
+    fraction say nothing; TIMESTAMP_NTZ has no zone.  TIMESTAMP keeps the instant, so a zone is allowed there.
+    """
+    plain = F.trim(text)
+    back = typed.cast("string")
+    if isinstance(dtype, T.BooleanType):
+        return F.lower(plain) == back
+    if isinstance(dtype, _INTEGRAL):
+        return plain == back
+    if isinstance(dtype, _FRACTIONAL):
+        said, kept = plain.try_cast("decimal(38,18)"), back.try_cast("decimal(38,18)")
+        # beyond a decimal: up to 15 digits survive in a double, 6 in a float
+        digits = F.length(F.regexp_replace(F.regexp_replace(F.lower(plain), "e.*$", ""), "[^0-9]|^[-+]?[0.]+", ""))
+        short = (digits <= (6 if isinstance(dtype, T.FloatType) else 15)) & ~back.contains("Infinity")
+        exponent = F.lower(plain).contains("e") & F.lit(not isinstance(dtype, T.DecimalType)) & short
+        return (plain == back) | exponent | F.coalesce(said == kept, F.lit(False))
+    if isinstance(dtype, T.DateType):
+        return plain == back
+    spaced = F.regexp_replace(plain, "^(\\d{4}-\\d{1,2}-\\d{1,2})[Tt]", "$1 ")
+    if isinstance(dtype, T.TimestampNTZType):
+        full = F.when(spaced.rlike("^\\d{4}-\\d{1,2}-\\d{1,2}$"), F.concat(spaced, F.lit(" 00:00:00"))) \
+            .when(spaced.rlike("^\\S+ \\d{1,2}:\\d{2}$"), F.concat(spaced, F.lit(":00"))).otherwise(spaced)
+        return F.regexp_replace(F.regexp_replace(full, "(\\.\\d*?)0+$", "$1"), "\\.$", "") == back
+    if isinstance(dtype, T.TimestampType):
+        return ~plain.rlike("\\.\\d{6}0*[1-9]")  # finer than a microsecond
+    return F.lit(True)
+
+
 def _scalar_lossless(x: Column, dtype: T.DataType) -> Column:
-    """The value's own type decides: a number stays the same number, a boolean a boolean; a string may be parsed (H3)."""
+    """The value's own type decides: a number stays the same number, a boolean a boolean; a string may be parsed (H3) if
+    its typed value says all that it says."""
     own = F.schema_of_variant(x)
     typed = F.try_variant_get(x, "$", dtype.simpleString())
-    text = own == "STRING"
+    text = (own == "STRING") & F.coalesce(_text_lossless(F.try_variant_get(x, "$", "string"), typed, dtype), F.lit(False))
     if isinstance(dtype, T.BooleanType):
         fits = text | (own == "BOOLEAN")
     elif isinstance(dtype, _INTEGRAL + _FRACTIONAL):

@@ -42,5 +42,12 @@ def one_per_key(dim: DataFrame, key: str) -> DataFrame:
 
 
 def left_join_dim(facts: DataFrame, dim: DataFrame, key: str, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``facts LEFT JOIN dim USING (key)``: unmatched keys (and NULL keys) keep NULL attributes."""
-    return facts.join(broadcast_if_small(one_per_key(dim, key), max_bytes), key, "left")
+    """``facts LEFT JOIN dim USING (key)``: unmatched keys (and NULL keys) keep NULL attributes.
+
+    The size check sees the dimension as it is stored.  A small one is read by one task, so that finding one row per key
+    shuffles nothing; a large one is grouped and joined by shuffles.
+    """
+    size = estimated_bytes(dim)
+    if size is not None and size <= max_bytes:
+        return facts.join(F.broadcast(one_per_key(dim.coalesce(1), key)), key, "left")
+    return facts.join(one_per_key(dim, key), key, "left")

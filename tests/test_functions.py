@@ -1,6 +1,9 @@
+import random
+from fractions import Fraction
+
 from pyspark.sql import functions as F
 
-from strata.functions.money import amount_average, amount_total
+from strata.functions.money import amount_average, amount_total, sum_sql
 from strata.functions.rules import DEFAULT_RULES, Expectation, bind_now, rules_from_dict
 
 
@@ -22,6 +25,21 @@ def test_no_amount_is_dropped(spark):
     assert _total(spark, [1e40, 1.0]) == 1e40
 
 
+def test_sums_equal_fractions_at_any_size_and_order(spark):
+    rng, groups = random.Random(1), {}
+    kinds = [lambda: rng.choice([4e-7, -4e-7, 1e-9]), lambda: rng.uniform(-1, 1) * 10 ** rng.randint(20, 35),
+             lambda: rng.uniform(-1, 1) * 10 ** rng.randint(-12, 35), lambda: round(rng.uniform(-1000, 1000), 2),
+             lambda: rng.choice([1e31, -1e31, 4e-7, 0.005, 1.005])]
+    for g in range(60):
+        groups[g] = [kinds[g % len(kinds)]() for _ in range(rng.randint(1, 120))]
+    rows = [(g, x) for g, xs in groups.items() for x in xs]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g int, x double").repartition(5)
+    got = {r["g"]: r["s"] for r in df.groupBy("g").agg(F.expr(sum_sql("x")).alias("s")).collect()}
+    assert got == {g: float(sum(map(Fraction, xs))) for g, xs in groups.items()}
+    assert _total(spark, [4e-7] * 50_000) == 0.02 and _total(spark, [1e31, 0.25, -1e31]) == 0.25
+
+
 def test_average_rounds_half_away_from_zero(spark):
     rows = [(1, 0.01, 8), (2, 0.05, 2), (3, -0.05, 2), (4, 0.02, 3), (5, 0.07, 0), (6, None, 3)]
     df = spark.createDataFrame(rows, "g int, x double, n bigint")
