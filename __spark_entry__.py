@@ -512,6 +512,33 @@ def q_bronze_lossless(spark, sf_dir):
         F.get_json_object(rescued, "$.tag.note").alias("note_rescued"))
 
 
+def q_bronze_nested_evolution(spark, sf_dir):
+    """Fields arrive inside an object and inside the elements of its array; fail once, widen, retry."""
+    key = ("nested_evolution", sf_dir)
+    if key not in _RUNS:
+        run, opts = new_run_dir(spark, "ingest-nested"), IngestOptions(evolve_nested=True)
+        ev = _events(spark, sf_dir)
+        early = F.col("ts") < F.lit(EVOLVE_AT).cast("timestamp_ntz")
+        user, kind = F.col("user_id"), F.col("event_type")
+        ev.filter(early).select("event_id", F.struct(
+            user.alias("k"), F.array(F.struct(user.alias("p"))).alias("parts")).alias("tag")) \
+            .write.json(f"{run}/landing/stage1")
+        ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/state", opts)
+        ev.filter(~early).select("event_id", F.struct(
+            user.alias("k"), kind.alias("note"), F.struct((user + 1).alias("z")).alias("more"),
+            F.array(F.struct(user.alias("p"), F.lit(None).cast("string").alias("q")),
+                    F.struct(user.alias("p"), kind.alias("q"))).alias("parts")).alias("tag")) \
+            .write.json(f"{run}/landing/stage2")
+        ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/state", opts, retries=1)
+        _RUNS[key] = (run, opts)
+    run, opts = _RUNS[key]
+    return read_bronze(spark, f"{run}/bronze", f"{run}/state", opts).select(
+        "event_id", F.col("tag.k").alias("tag_k"), F.col("tag.note").alias("tag_note"),
+        F.col("tag.more.z").alias("more_z"), F.size("tag.parts").cast("long").alias("n_parts"),
+        F.get(F.col("tag.parts"), F.lit(0))["p"].alias("first_p"), F.get(F.col("tag.parts"), F.lit(1))["q"].alias("second_q"),
+        "_rescued_data")
+
+
 def q_bronze_replay(spark, sf_dir):
     """The last batch replayed, its commit forgotten: rows per event type, each once."""
     key = ("replay", sf_dir)
@@ -568,6 +595,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "expectations_after_reset": q_expectations_after_reset,
         "bronze_lossless": q_bronze_lossless,
         "bronze_replay": q_bronze_replay,
+        "bronze_nested_evolution": q_bronze_nested_evolution,
     }
 
 
@@ -740,6 +768,12 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN value <> floor(value) THEN CAST(value AS DOUBLE) END AS value_rescued,
                    user_id AS flag_rescued, CASE WHEN event_type = 'error' THEN event_type END AS note_rescued
             FROM events""",
+        "bronze_nested_evolution": f"""SELECT event_id, user_id AS tag_k,
+                   CASE WHEN ts >= {evolve} THEN event_type END AS tag_note,
+                   CASE WHEN ts >= {evolve} THEN user_id + 1 END AS more_z,
+                   CASE WHEN ts >= {evolve} THEN 2::BIGINT ELSE 1::BIGINT END AS n_parts, user_id AS first_p,
+                   CASE WHEN ts >= {evolve} THEN event_type END AS second_q, CAST(NULL AS VARCHAR) AS _rescued_data
+            FROM events""",
         "bronze_replay": "SELECT event_type, count(*) AS rows, count(DISTINCT event_id) AS events FROM events GROUP BY 1",
         # append mode emits a day once the watermark (max event time - 1 day) has passed its end
         "live_channel_sales_append": f"""SELECT CAST(ts AS DATE) AS order_date, event_type AS channel,

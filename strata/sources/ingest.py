@@ -14,7 +14,9 @@ micro-batch in ``foreachBatch``:
    distributed pass collects the *names* of unseen top-level keys (metadata
    only, never rows); ``addNewColumns`` infers their types, stores version
    n+1 and raises :class:`UnknownFieldError`, so the batch commits nothing and
-   is replayed — with the wider schema — on the next run;
+   is replayed — with the wider schema — on the next run; ``evolve_nested`` treats
+   new keys inside stored objects, array elements and map values the same way
+   (without it they are rescued);
 4. project with ``try_variant_get`` and build ``_rescued_data``: what would not
    convert without loss, at any depth, is NULL in its column and rescued whole;
 5. publish ``<table>/batch_id=<id>`` in one move: readers see a batch whole or
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.variant import fit_flags, rescued_column, typed_columns
-from strata.sources import storage
+from strata.sources import evolution, storage
 from strata.sources.schema_store import (SchemaStore, all_strings, apply_hints, check_types_kept,
                                          schema_from_variant_type)
 
@@ -48,7 +50,7 @@ LINE, VAR, FITS, SRC, MTIME = ("__strata_line", "__strata_v", "__strata_fits", "
 
 
 class UnknownFieldError(RuntimeError):
-    """New top-level fields were seen; in addNewColumns mode the schema has been widened — re-run."""
+    """New fields were seen; in addNewColumns mode the schema has been widened — re-run."""
 
     MARKER = "STRATA_UNKNOWN_FIELDS"
 
@@ -65,6 +67,8 @@ class IngestOptions:
     infer_column_types: bool = True
     schema_hints: str | None = None
     evolution_mode: str = "addNewColumns"
+    # New keys inside stored objects count as new columns too; columns with a hint keep the hint's type.
+    evolve_nested: bool = False
     rescued_data_column: str | None = "_rescued_data"
     # Bounds every micro-batch — and so first-batch inference — on a large backfill.
     max_files_per_trigger: int | None = 1000
@@ -169,7 +173,7 @@ class BronzeWriter:
             version, schema = latest
             hinted = apply_hints(self.spark, schema, self.opts.schema_hints)
             check_types_kept(schema, hinted)
-            if len(hinted.fields) > len(schema.fields):  # hinted columns that no batch has had yet
+            if hinted != schema:  # hinted columns or nested fields that no batch has had yet
                 self._write_version(version + 1, hinted)
                 version, schema = version + 1, hinted
         elif self.opts.schema is not None:
@@ -183,7 +187,23 @@ class BronzeWriter:
             self._write_version(0, schema)
             return schema
         mode = self.opts.evolution_mode
-        if mode in ("addNewColumns", "failOnNewColumns"):
+        if mode in ("addNewColumns", "failOnNewColumns") and self.opts.evolve_nested:
+            objects = _objects(parsed)
+            fixed = evolution.hinted_columns(self.spark, self.opts.schema_hints)
+            fresh = evolution.new_keys(objects, VAR, schema, skip=fixed)
+            names = [evolution.path_text(at, k) for at, keys in fresh.items() for k in keys]
+            if fresh:
+                if mode == "failOnNewColumns":
+                    raise UnknownFieldError(names)
+                added = evolution.new_fields(self.spark, objects, VAR, fresh)
+                if not self.opts.infer_column_types and () in added:
+                    added[()] = all_strings(added[()])
+                if not added:
+                    return schema
+                wider = apply_hints(self.spark, evolution.widened(schema, added), self.opts.schema_hints)
+                self._write_version(version + 1, wider)
+                raise UnknownFieldError(names, version + 1)
+        elif mode in ("addNewColumns", "failOnNewColumns"):
             fresh = new_top_level_keys(parsed, schema)
             if fresh:
                 if mode == "failOnNewColumns":

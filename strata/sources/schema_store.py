@@ -64,9 +64,16 @@ def is_open(dtype: T.DataType) -> bool:
 
 
 def _settled(dtype: T.DataType) -> T.DataType:
-    """Without the open fields inside objects; they count as unknown keys until data shows their type."""
+    """Without the open fields inside objects; they count as unknown keys until data shows their type.
+
+    Of names that differ by case only, the first in the order of the text is a field; the others stay unknown keys.
+    """
     if isinstance(dtype, T.StructType):
-        kept = [T.StructField(f.name, _settled(f.dataType), True) for f in dtype.fields if not is_open(f.dataType)]
+        first: dict[str, T.StructField] = {}
+        for f in dtype.fields:
+            if not is_open(f.dataType):
+                first.setdefault(f.name.lower(), T.StructField(f.name, _settled(f.dataType), True))
+        kept = list(first.values())
         return T.StructType(kept) if kept else T.StringType()
     if isinstance(dtype, T.ArrayType):
         return T.ArrayType(_settled(dtype.elementType), True)
@@ -96,10 +103,22 @@ def apply_hints(spark: SparkSession, schema: T.StructType, hints: str | None) ->
     return T.StructType(out + [T.StructField(f.name, f.dataType, True) for f in hinted.values()])
 
 
+def _extends(new: T.DataType, old: T.DataType) -> bool:
+    """Whether ``new`` is ``old``, perhaps with more fields inside its objects: what was written as old reads as new."""
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        types = {f.name: f.dataType for f in new.fields}
+        return all(f.name in types and _extends(types[f.name], f.dataType) for f in old.fields)
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return _extends(new.elementType, old.elementType)
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        return new.keyType == old.keyType and _extends(new.valueType, old.valueType)
+    return new == old
+
+
 def check_types_kept(old: T.StructType, new: T.StructType) -> None:
-    """A stored column keeps its type: batches written under it are read by it."""
+    """A stored column keeps its type: batches written under it are read by it.  Its objects may get more fields."""
     types = {f.name.lower(): f.dataType for f in old.fields}
-    changed = [f.name for f in new.fields if types.get(f.name.lower(), f.dataType) != f.dataType]
+    changed = [f.name for f in new.fields if f.name.lower() in types and not _extends(f.dataType, types[f.name.lower()])]
     if changed:
         raise ValueError(f"columns {changed} are stored with another type; hint them before the first batch, or reset")
 
