@@ -4,7 +4,7 @@ Everything runs as DataFrame expressions.  The patterns give the base spans.  Fu
 characters, of whatever kind; a token is a secret where the log-likelihood ratio of two first-order character
 models, one of random strings and one of ordinary identifiers, is at least ``min_ratio`` per character.  Both models
 are trained from a labelled sample (token, secret or not): character transitions are counted in Spark, and two tables of
-65 x 65 counts reach the driver.
+67 x 67 counts reach the driver.
 
 Offsets count code points, ends are exclusive.  Defined results: NULL text is empty (no spans); repeated rows and NULL
 ids are rows like any other; an empty table gives no rows; a sample without secrets leaves the random model uniform.
@@ -94,8 +94,10 @@ def train(sample: DataFrame, backoff: float = 5.0) -> list[float]:
     """
     n = len(SYMBOLS)
     tokens = sample.groupBy("secret", "token").agg(F.count("*").alias("n")).filter(F.length("token") > 1)
-    pairs = tokens.select("secret", "n", F.explode(F.sequence(F.lit(1), F.length("token") - 1)).alias("i"), "token") \
-        .groupBy("secret", F.expr("substring(token, i, 2)").alias("pair")).agg(F.sum("n").alias("n")).collect()
+    chars = tokens.select("secret", "n", F.split("token", "", -1).alias("c"))
+    after = F.arrays_zip(F.slice("c", 1, F.size("c") - 1).alias("a"), F.slice("c", 2, F.size("c") - 1).alias("b"))
+    pairs = chars.select("secret", "n", F.explode(after).alias("p")) \
+        .groupBy("secret", F.concat("p.a", "p.b").alias("pair")).agg(F.sum("n").alias("n")).collect()
     place = {c: i for i, c in enumerate(SYMBOLS)}
     counts = {True: [[0.0] * n for _ in range(n)], False: [[0.0] * n for _ in range(n)]}
     for row in pairs:
@@ -117,11 +119,14 @@ def _ratio(token: Column, model: list[float]) -> Column:
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")
     place = F.split(F.lit(",".join(str(SYMBOLS.find(chr(i))) for i in range(128))), ",").cast("array<int>")
 
-    def at(i):
-        return F.get(place, F.ascii(token.substr(i, F.lit(1))))
+    def step(done, c):
+        here = F.get(place, F.ascii(c))
+        gain = F.when(done["last"] < 0, 0.0).otherwise(F.get(table, done["last"] * n + here))
+        return F.struct((done["sum"] + gain).alias("sum"), here.alias("last"))
 
-    total = F.aggregate(F.sequence(F.lit(2), F.length(token)), F.lit(0.0),
-                        lambda s, i: s + F.get(table, at(i - F.lit(1)) * n + at(i)))
+    # the token is cut into its characters once, so the time grows with its length alone
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("last"))
+    total = F.aggregate(F.split(token, "", -1), start, step, lambda done: done["sum"])
     return total / (F.length(token) - 1)
 
 

@@ -1,9 +1,11 @@
 """Operators on texts against brute force, exact round trips and the edge cases of their docstrings."""
 
+import collections
 import hashlib
 import random
 import re
 import string
+import time
 import zlib
 
 import duckdb
@@ -325,6 +327,36 @@ def test_random_strings_without_a_digit_or_short(spark):
     assert len(spans) <= 0.001 * words
 
 
+def test_ratio_is_that_of_the_counts_for_tokens_of_any_length(spark):
+    """The models and the ratio against plain counting, and a token of a million characters in linear time."""
+    rng, n = random.Random(5), len(secrets.SYMBOLS)
+    words = [(False, "".join(rng.choice("abcdeiou_-") for _ in range(rng.randint(1, 14)))) for _ in range(300)] * 2
+    words += [(True, "".join(rng.choice(secrets.SYMBOLS) for _ in range(rng.randint(1, 40)))) for _ in range(200)]
+    long = "".join(rng.choice(secrets.SYMBOLS) for _ in range(1_000_000))
+    start = time.time()
+    model = secrets.train(spark.createDataFrame(words + [(True, long)], "secret boolean, token string"))
+    table = {}
+    for kind, uniform in ((True, 0.5), (False, 0.0)):
+        pairs = collections.Counter(a + b for k, w in words + [(True, long)] if k == kind for a, b in zip(w, w[1:]))
+        ends, starts = collections.Counter(), collections.Counter()
+        for p, c in pairs.items():
+            starts[p[0]] += c
+            ends[p[1]] += c
+        single = {c: uniform / n + (1 - uniform) * (ends[c] + 0.5) / (sum(ends.values()) + 0.5 * n) for c in secrets.SYMBOLS}
+        table[kind] = {a + b: np.log((pairs[a + b] + 5.0 * single[b]) / (starts[a] + 5.0))
+                       for a in secrets.SYMBOLS for b in secrets.SYMBOLS}
+    llr = {p: table[True][p] - table[False][p] for p in table[True]}
+    assert np.allclose(model, [llr[a + b] for a in secrets.SYMBOLS for b in secrets.SYMBOLS], atol=1e-9)
+    tokens = [w for _, w in words if len(w) >= 10] + [long]
+    rows = spark.createDataFrame([(w,) for w in tokens], "t string").select(
+        "t", secrets._ratio(secrets.F.col("t"), model).alias("r")).collect()
+    for r in rows:
+        assert abs(r["r"] - np.mean([llr[a + b] for a, b in zip(r["t"], r["t"][1:])])) < 1e-5
+    found = secrets.scan(spark.createDataFrame([(1, f"see {long} there")], "doc_id int, text string"), model).first()
+    assert [tuple(s) for s in found["secret_spans"] if s["kind"] == 3] == [(4, 1_000_004, 3)]
+    assert time.time() - start < 60
+
+
 # ------------------------------------------------------------------ segmentation
 def test_segmentations(spark, texts, odd_docs, no_docs):
     path = vocabulary_path("piece_bpe_32k.model")
