@@ -24,6 +24,7 @@ occur; a language with no candidate, and an empty table, give no rows; words of
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from collections import Counter
 
@@ -41,8 +42,9 @@ LONGEST = 4
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _TOKENS = re.compile(rb"[^\x20\x09.,;:!?\x0A-\x0D]+").findall
 _AT_BREAK = re.compile(rb"[.,;:!?\x0A-\x0D]").search
-_CHUNK = 4 << 20  # bytes of text in work at a time; cut at a break only
+_CHUNK = 1 << 20  # bytes of text in work at a time; cut at a break only
 _HELD = 400_000  # counts a task holds before it hands them on
+_ROWS = 50_000  # rows of an Arrow batch handed on
 _MULTIPLIERS = tuple(np.uint64(xxhash.xxh64_intdigest(b"place", seed=i) | 1) for i in range(LONGEST))
 _MIX = np.uint64(xxhash.xxh64_intdigest(b"mix", seed=0) | 1)
 SUPPORTED, GROWS, REACHES = 1, 2, 4  # flags of a phrase
@@ -54,12 +56,15 @@ _KIND[[0x20, 0x09]] = _SPACE
 _KIND[list(_BREAKS)] = _BREAK
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd multiplier and of its inverse, modulo 2 ** 64."""
-    base = int(_MULTIPLIERS[0])
-    both = (base, pow(base, -1, 1 << 64))
-    return tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, x, np.uint64)])) for x in both)
+    base, out = int(_MULTIPLIERS[0]), []
+    for x in (base, pow(base, -1, 1 << 64)):
+        powers = np.full(n, x, np.uint64)
+        powers[0] = 1
+        out.append(np.cumprod(powers, out=powers))
+    return tuple(out)
 
 
 class Words:
@@ -75,7 +80,7 @@ class Words:
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         start, end = edges[::2], edges[1::2]
         n = len(run)
-        forth, back = _powers(1 << max(n, 1 << 16).bit_length())
+        forth, back = _powers(1 << max(n, _CHUNK).bit_length())
         sums = np.concatenate([[np.uint64(0)], np.cumsum((np.frombuffer(run, np.uint8).astype(np.uint64) + np.uint64(1))
                                                          * forth[:n])])
         value = (sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64) * _MIX
@@ -178,9 +183,11 @@ def _count_phrases(texts: DataFrame, k: int, wanted) -> DataFrame:
 
         def written():
             for lang, counts in held.items():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()),
-                     pa.array(list(counts.values()), pa.int64())], names=["lang", "phrase", "n"])
+                rows = iter(counts.items())
+                while some := list(itertools.islice(rows, _ROWS)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(some), pa.string()), pa.array([p for p, _ in some], pa.binary()),
+                         pa.array([n for _, n in some], pa.int64())], names=["lang", "phrase", "n"])
             held.clear()
 
         for lang, run in _runs(batches):
@@ -206,7 +213,9 @@ def _supported_pairs(texts: DataFrame, words: Gate, least: int) -> DataFrame:
 
         def written():
             values, times = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(times)], names=["code", "n"])
+            for at in range(0, len(values), _ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(values[at:at + _ROWS].view(np.int64)),
+                                                  pa.array(times[at:at + _ROWS])], names=["code", "n"])
 
         for lang, text in _runs(batches):
             hashes = Words(lang, text).hashes
@@ -217,10 +226,10 @@ def _supported_pairs(texts: DataFrame, words: Gate, least: int) -> DataFrame:
             held.append(codes)
             size += len(codes)
             if size >= 2_000_000:
-                yield written()
+                yield from written()
                 held, size = [], 0
         if held:
-            yield written()
+            yield from written()
 
     counted = map_arrow(texts, run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     return counted.filter(F.col("n") >= least)
