@@ -42,6 +42,7 @@ LENGTHS, DECAY = (2, 3), 0.6
 _WIDE, _STEP = 20, 10
 _SENTENCES = re.compile(r"[.!?;\n\r]+(?=\s|$)|[\n\r]+").split
 _KEPT_UNITS = 600_000
+_GROUP = 1_000_000  # characters of texts whose new units are worked out together
 _TOP = 3  # margins of a text that its score sees
 
 
@@ -50,15 +51,19 @@ def units_of(sentence: str) -> list[str]:
     """The different words, as their letters and digits after a mark for the start; runs of three and more single
     characters are one word; long ones in windows."""
     words, run = [], []
-    for word in [*sentence.lower().split(), ""]:
-        word = word if word.isalnum() else "".join(filter(str.isalnum, word))
+    for word in sentence.lower().split():
+        if not word.isalnum():
+            word = "".join(filter(str.isalnum, word))
         if len(word) == 1:
             run.append(word)
             continue
-        if len(run) > 2:
-            words.append("".join(run))
-        run.clear()
+        if run:
+            if len(run) > 2:
+                words.append("".join(run))
+            run = []
         words.append(word)
+    if len(run) > 2:
+        words.append("".join(run))
     out = []
     for word in dict.fromkeys(words):
         if word:
@@ -226,19 +231,30 @@ class Model:
         fresh = [u for u in new if u not in self._older]
         self._known.update(zip(fresh, self._parts.of(fresh)[:, 0].tolist()))
 
-    def summary(self, text: str | None) -> np.ndarray:
-        """Of a text: its highest sentence margins, the share of its sentences beyond zero, its highest words."""
-        sentences = sentences_of(text)
-        self.remember([u for s in sentences for u in s])
+    def summaries(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Of each text: its highest sentence margins, the share of its sentences beyond zero, its highest words."""
+        out, group, size = [], [], 0
+        for i, text in enumerate(texts):
+            group.append(sentences_of(text))
+            size += len(text or "")
+            if size >= _GROUP or i == len(texts) - 1:
+                units = [set(itertools.chain.from_iterable(sentences)) for sentences in group]
+                self.remember(set().union(*units))
+                out += map(self._summary, group, units)
+                group, size = [], 0
+        return out
+
+    def _summary(self, sentences: list[list[str]], units: set[str]) -> np.ndarray:
         part = self._known.__getitem__
         margins = np.array([sum(map(part, s)) for s in sentences]) + self.weights[-1]
-        words = np.array([part(u) for u in {u for s in sentences for u in s}])
-        out = [_highest(margins), [float((margins > 0).mean()) if len(margins) else 0.0], _highest(words)]
-        return np.concatenate(out)
+        shares = [float((margins > 0).mean()) if len(margins) else 0.0]
+        return np.concatenate([_highest(margins), shares, _highest(np.array([part(u) for u in units]))])
 
-    def score(self, text: str | None) -> float:
-        z = self.summary(text) @ self.scale[:-1] + self.scale[-1]
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        if not texts:
+            return np.empty(0)
+        z = np.array(self.summaries(texts)) @ self.scale[:-1] + self.scale[-1]
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def _highest(values: np.ndarray) -> np.ndarray:
@@ -371,7 +387,7 @@ def train(labelled: DataFrame, landmarks: int = 192, rounds: int = 3, ridge: flo
     def summed(batches):
         for batch in batches:
             texts, y = batch.column("text").to_pylist(), batch.column("label")
-            found = [model.summary(t).tolist() for t in texts]
+            found = [x.tolist() for x in model.summaries(texts)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), y], names=["x", "label"])
 
     known = map_arrow(check, summed, "x array<double>, label double").toPandas()  # at most max_labelled short rows
@@ -400,7 +416,8 @@ def toxicity_of(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_
 
     def score(batches):
         for batch in batches:
-            found = [0.0 if model is None else model.score(t) for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
+            found = np.zeros(len(texts)) if model is None else model.scores(texts)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.float64())], names=["doc_id", "score"])
 
     scored = map_arrow(docs, score, f"doc_id {id_type}, score double")
