@@ -156,11 +156,14 @@ class Weights:
 
     def __init__(self, codes: list[np.ndarray], rows: list[np.ndarray]):
         self.codes, self.rows = codes, rows
-        self.seen = []
-        for c in codes:  # by the first bits of a code: whether any is known
-            seen = np.zeros(1 << 20, bool)
-            seen[(c >> np.uint64(44)).astype(np.int64)] = True
+        self.seen, self.first = [], []
+        for c in codes:  # by the first bits of a code: whether any is known, and the place of the first
+            bits = (c >> np.uint64(44)).astype(np.int64)
+            seen, first = np.zeros(1 << 20, bool), np.zeros(1 << 20, np.int32)
+            seen[bits] = True
+            first[bits[::-1]] = np.arange(len(c), dtype=np.int32)[::-1]
             self.seen.append(seen)
+            self.first.append(first)
 
     def of(self, units: list[str]) -> np.ndarray:
         """A row of columns for each unit: the sum over its subsequences, normalised per length."""
@@ -183,9 +186,11 @@ class Weights:
 
     def _sums(self, k: int, rows: np.ndarray, length: int) -> np.ndarray:
         codes, weights = _subsequences(rows, length)
-        unit, place = np.nonzero(self.seen[k][(codes >> np.uint64(44)).astype(np.int64)])
-        codes = codes[unit, place]
-        at = np.minimum(np.searchsorted(self.codes[k], codes), len(self.codes[k]) - 1)
+        bits = (codes >> np.uint64(44)).astype(np.int64)
+        unit, place = np.nonzero(self.seen[k][bits])
+        codes, at = codes[unit, place], self.first[k][bits[unit, place]]
+        other = np.flatnonzero(self.codes[k][at] != codes)  # unknown, or not the first with these bits
+        at[other] = np.minimum(np.searchsorted(self.codes[k], codes[other]), len(self.codes[k]) - 1)
         hit = self.codes[k][at] == codes
         unit, at, weight = unit[hit], at[hit], weights[place[hit]]
         columns = self.rows[k].shape[1]
