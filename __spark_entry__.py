@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from strata.functions.rules import DEFAULT_RULES
 from strata.operators import gold, quality, silver
 from strata.plans import verify
+from strata.plans.dimension import Dimension
 from strata.plans.event_log import EXPECTATIONS_PATH_SQL
 from strata.plans.pipeline import order_pipeline, table_changes
+from strata.plans.refresh import read_view, refresh_view
 from strata.session import new_run_dir
 from strata.sources import adapter, files, storage
 from strata.sources.ingest import IngestOptions, UnknownFieldError, ingest, read_bronze
@@ -484,6 +486,38 @@ def q_expectations_after_reset(spark, sf_dir):
             .groupBy("expectation").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed")))
 
 
+def _renamed_stores(stores: DataFrame) -> DataFrame:
+    """Stores of Asia under another name and region, those of Africa closed."""
+    asia = F.col("region") == "ASIA"
+    return stores.filter(F.coalesce(F.col("region") != "AFRICA", F.lit(True))).select(
+        "store_id", F.when(asia, F.concat(F.lit("New "), "store_name")).otherwise(F.col("store_name")).alias("store_name"),
+        "city", F.when(asia, F.lit("EAST")).otherwise(F.col("region")).alias("region"))
+
+
+def q_view_follows_dimension(spark, sf_dir):
+    """The daily view after a new batch and, later, a dimension that changed without any new line."""
+    key = ("dimension", sf_dir)
+    if key not in _RUNS:
+        run = new_run_dir(spark, "dimension")
+        silver_dir, view = f"{run}/silver", "gold_daily_store_sales"
+        stores = adapter.stores(spark, sf_dir)
+        lines = _silver(spark, sf_dir)
+        late = F.coalesce(F.dayofmonth("order_date") > 15, F.lit(True))
+
+        def refresh(dim):
+            refresh_view(spark, view, lambda x: gold.daily_store_sales(x, dim), spark.read.parquet(silver_dir),
+                         f"{run}/{view}", f"{run}/state",
+                         dimension=Dimension(dim, "store_id", ("store_name", "city", "region")))
+
+        lines.filter(~late).write.parquet(f"{silver_dir}/batch_id=0")
+        refresh(stores)
+        lines.filter(late).write.parquet(f"{silver_dir}/batch_id=1")
+        refresh(stores)
+        refresh(_renamed_stores(stores))
+        _RUNS[key] = f"{run}/{view}"
+    return read_view(spark, _RUNS[key], gold.DAILY_STORE_SALES)
+
+
 def _lossless(spark, sf_dir):
     """Events landed under types that not every value fits: a fraction under BIGINT, a number under BOOLEAN, a nested key
     that the schema does not know."""
@@ -593,6 +627,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "gold_exact_sums": q_gold_exact_sums,
         "bronze_lossless_text": q_bronze_lossless_text,
         "expectations_after_reset": q_expectations_after_reset,
+        "view_follows_dimension": q_view_follows_dimension,
         "bronze_lossless": q_bronze_lossless,
         "bronze_replay": q_bronze_replay,
         "bronze_nested_evolution": q_bronze_nested_evolution,
@@ -735,6 +770,13 @@ def oracle_sql() -> dict[str, str]:
             FROM events""",
         "bronze_fail_on_new_columns": f"SELECT event_id, event_type FROM events WHERE ts < {evolve}",
         "event_log_sql": f"WITH {_CTE} {per_rule}",
+        "view_follows_dimension": f"""{_SILVER}{_gold_sql("gold_daily_store_sales")}
+            SELECT order_date, store_id, orders, revenue, units_sold, avg_basket_value,
+                   CASE WHEN region = 'ASIA' THEN 'New ' || store_name
+                        WHEN region IS DISTINCT FROM 'AFRICA' THEN store_name END AS store_name,
+                   CASE WHEN region IS DISTINCT FROM 'AFRICA' THEN city END AS city,
+                   CASE WHEN region = 'ASIA' THEN 'EAST' WHEN region <> 'AFRICA' THEN region END AS region
+            FROM gold""",
         "expectations_after_reset": f"WITH {_CTE} {per_rule}",
         "catalog_gold_channel_mix": gold_sql["gold_channel_mix"],
         "dimension_table": "SELECT n_nationkey AS store_id, n_name AS store_name, n_name AS city, r_name AS region "
