@@ -47,6 +47,23 @@ def test_average_rounds_half_away_from_zero(spark):
     assert [r["a"] for r in got] == [0.0, 0.03, -0.03, 0.01, None, None]
 
 
+def test_plain_sums_are_used_only_where_they_round_alike(spark):
+    """Ties, tiny and huge amounts and NaN round as the sums of the limbs do, in any order of rows."""
+    from strata.functions.money import _rounded
+    rng, rows = random.Random(3), []
+    for g in range(400):
+        kind = rng.choice([lambda: round(rng.uniform(-9e4, 9e4), 2), lambda: rng.choice([0.005, -0.005, 0.125, 1.005]),
+                           lambda: rng.uniform(-1, 1) * 10 ** rng.randint(-14, 17), lambda: rng.choice([-0.0, 0.0, 4e-7])])
+        rows += [(g, kind()) for _ in range(rng.randint(1, 40))]
+    rows += [(400, float("nan")), (401, float("inf")), (401, 1.0), (402, None), (403, 1e300), (403, -1e300), (404, 1e-40)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g int, x double").repartition(5)
+    for digits in (2, 6):
+        got = df.groupBy("g").agg(F.expr(_rounded("x", digits)).alias("a"),
+                                  F.expr(f"round({sum_sql('x')}, {digits})").alias("b"))
+        assert got.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+
+
 def test_reference_rule_set():
     names = [r.name for r in DEFAULT_RULES]
     assert names == ["valid_order_id", "valid_store", "positive_qty", "non_negative_amount", "known_channel",
