@@ -123,3 +123,65 @@ def test_max_files_per_trigger_and_old_files(spark, dirs):
     assert b.select("batch_id").distinct().count() == 3  # one file per micro-batch
     assert all(os.path.basename(r.source_file).endswith(".json") for r in b.collect())
 
+
+
+def test_lines_written_back_alike_need_no_second_look(spark, dirs, monkeypatch):
+    """A batch whose lines show by themselves that they fit is read once: no inference over all, no search for new keys,
+    and nothing held in memory."""
+    def must_not(*_, **__):
+        raise AssertionError("the batch was read again")
+
+    monkeypatch.setattr("strata.sources.ingest.new_top_level_keys", must_not)
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.persist", must_not)
+    line = '{"order_id":"%d","order_ts":"2026-08-01T10:00:00.000Z","items":[{"qty":%d,"unit_price":2.5}],"order_total":3.25}'
+    for batch in range(2):
+        write_lines(dirs["landing"], f"{batch}.json", [line % (i, i + batch) for i in range(20)])
+        run(spark, dirs, IngestOptions(schema_hints=HINTS))
+    b = bronze(spark, dirs)
+    assert b.count() == 40 and b.filter(F.col("_rescued_data").isNotNull()).count() == 0
+    assert b.agg(F.sum(F.col("items")[0]["qty"]), F.min(F.col("order_ts").cast("string"))).first()[:] == \
+        (400, "2026-08-01 10:00:00")
+
+
+def test_reading_lines_whole_changes_no_value(spark, tmp_path):
+    """Every line has the same bronze row whether it is read whole or taken apart as VARIANT."""
+    lines = ['{"s":"a","n":1,"x":1.5,"b":true,"t":"2026-08-01T10:00:00.000Z","l":[{"q":1,"p":2.5}]}', '{}', '{"s":"5"}',
+             '{"s":5}', '{"s":1.50}', '{"n":"5"}', '{"n":1.0}', '{"n":9223372036854775808}', '{"x":5}', '{"x":-0.0}',
+             '{"x":"NaN"}', '{"x":"Infinity"}', '{"x":1.0E10}', '{"x":12345678.25}', '{"x":0.1234567890123456789}',
+             '{"x":9007199254740993}', '{"b":"true"}', '{"b":1}', '{"t":"2026-08-01"}', '{"t":"x"}', '{"t":5}',
+             '{"t":"2026-08-01T10:00:00.0000001Z"}', '{"t":null}', '{"s":null,"n":1}', '{"l":[]}', '{"l":[null]}',
+             '{"l":[{}]}', '{"l":[{"q":"1","p":1.5}]}', '{"l":[{"q":1,"r":2}]}', '{"l":{"q":1}}', '{"u":1}', '{"S":"a"}',
+             '{"s":"a","s":"b"}', '{"s":"a"} ', ' {"s":"a"}', '{"n":1,"s":"a"}', '{"s":"a"}x', '{"s":"é\\u00e9\\n/"}',
+             '{"s":{"k":1}}', '{"s":[1]}', '[1]', '5', 'x', '"s"', '{"s":"a"', '{"x":1e400}', '{"n":-0}', '{"l":[{"p":-0.0}]}']
+    path = write_lines(str(tmp_path), "lines.json", lines)
+    from strata.sources import ingest as module
+    schema = module.T.StructType.fromDDL("s string, n bigint, x double, b boolean, t timestamp, "
+                                         "l array<struct<q: bigint, p: double>>")
+    raw = spark.read.text(path).select(F.col("value").alias(module.LINE), F.lit("f").alias(module.SRC),
+                                       F.current_timestamp().alias(module.MTIME))
+
+    def rows(order, seen=None):
+        return [str(r[:-2]) for r in module.project(raw, schema, IngestOptions(), order, seen).collect()]
+
+    seen = module.Observation("seen")
+    whole = rows(["s", "n", "x", "b", "t", "l"], seen)
+    parsed = seen.get["parsed"]
+    assert len(whole) == len(lines) and 20 < parsed < len(lines) - 5
+    says_all = module.says_all
+    try:
+        module.says_all = lambda *_: F.lit(False)
+        assert rows([]) == whole
+    finally:
+        module.says_all = says_all
+
+
+def test_a_late_line_decides_the_first_schema(spark, dirs, monkeypatch):
+    """The first batch's schema is that of all its lines, however few of them the sample has."""
+    monkeypatch.setattr("strata.sources.ingest.SAMPLE_LINES", 2)
+    write_lines(dirs["landing"], "a.json", ['{"a":1,"b":"x"}'] * 5 + ['{"a":1.5,"b":"x","c":true}', '{"a":2,"b":{"k":1}}'])
+    run(spark, dirs, IngestOptions())
+    b = bronze(spark, dirs)
+    assert [(f.name, f.dataType.simpleString()) for f in b.schema.fields][:3] == \
+        [("a", "double"), ("b", "string"), ("c", "boolean")]
+    assert b.count() == 7 and b.agg(F.sum("a"), F.count("c")).first()[:] == (8.5, 1)
+    assert [v for v, _ in SchemaStore(spark, dirs["state"]).versions()] == [0]
