@@ -10,7 +10,8 @@ once.  The bound left at the top after ``k`` samples is the threshold t that giv
 of log-probability l is drawn with probability 1 - exp(-exp(l - t)).
 
 No piece holds a space mark after another character, and none holds a line feed, so the lattice is a chain of
-small ones, one per word; each distinct word of a batch is built once, and all words of a batch advance together.
+small ones, one per word; each distinct word of a batch is built once, and all words of a batch advance together, as do
+the bounds beside all its paths.
 Random numbers are hashes of (seed, row key, sample, word, step): a row's samples depend on nothing else.
 
 Defined results: NULL counts as empty; an empty text has one segmentation, of no pieces; a text with fewer than ``k``
@@ -33,8 +34,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import map_arrow, ship
 
 MARK = "▁"  # a space inside pieces
-_UNITS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n").findall
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_NOISE = np.uint64(0xA5A5A5A5A5A5A5A5)  # sets the numbers of the bounds apart from those of the walks
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -44,13 +45,77 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _uniform(seed: np.ndarray, a: np.ndarray, b: int) -> np.ndarray:
-    """In (0, 1), by row seed and two counters."""
-    x = _mixed(seed + a.astype(np.uint64) * _BASE)
+def _counted(seed: np.ndarray, a: np.ndarray) -> np.ndarray:
+    return _mixed(seed + a.astype(np.uint64) * _BASE)
+
+
+def _fraction(x: np.ndarray, b: int) -> np.ndarray:
     x = _mixed(x ^ np.uint64(0xD6E8FEB86659FD93 * (b + 1) & 0xFFFFFFFFFFFFFFFF))
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
+def _uniform(seed: np.ndarray, a: np.ndarray, b: int) -> np.ndarray:
+    """In (0, 1), by row seed and two counters."""
+    return _fraction(_counted(seed, a), b)
+
+
+def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each length, one after the other."""
+    end = np.cumsum(length)
+    return np.repeat(start - end + length, length) + np.arange(end[-1] if len(end) else 0)
+
+
+class _Keys:
+    """Whole numbers of 64 bits with a value each, found by their leading bits once these are spread."""
+
+    def __init__(self, values: dict[int, int]):
+        keys = np.fromiter(values, dtype=np.uint64, count=len(values)) * _BASE
+        order = np.argsort(keys)
+        bits = max(len(keys) * 8, 2).bit_length()
+        self.shift = np.uint64(64 - bits)
+        self.keys = np.append(keys[order], np.uint64(0))
+        self.values = np.append(np.fromiter(values.values(), dtype=np.int64, count=len(values))[order], -1)
+        self.begin = np.searchsorted(keys[order] >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which numbers are keys, and the values of those."""
+        h = h * _BASE
+        bucket = (h >> self.shift).astype(np.int64)
+        place = self.begin[bucket]
+        found = self.keys[place] == h
+        later = np.flatnonzero(~found & (place + 1 < self.begin[bucket + 1]))
+        while len(later):
+            place[later] += 1
+            found[later] = self.keys[place[later]] == h[later]
+            later = later[~found[later] & (place[later] + 1 < self.begin[bucket[later] + 1])]
+        return found, self.values[place[found]]
+
+
+def _units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts as the model reads them, cut into words (marks with what follows up to the next mark; line feeds): characters
+    and lengths of the distinct words, the number of each word in order, and where the words of each text begin."""
+    codes = np.frombuffer("".join([MARK + t if t else "" for t in texts]).encode("utf-32-le"), dtype="<u4").copy()
+    codes[codes == ord(" ")] = ord(MARK)
+    size = np.fromiter((len(t) + 1 if t else 0 for t in texts), dtype=np.int64, count=len(texts))
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    mark, begins = codes == ord(MARK), codes == ord("\n")
+    begins[1:] |= begins[:-1].copy()
+    begins[1:] |= mark[1:] & ~mark[:-1]
+    begins[bounds[:-1][size > 0]] = True
+    start = np.flatnonzero(begins)
+    length = np.diff(np.append(start, len(codes)))
+    place = np.arange(len(codes)) - np.repeat(start, length)
+    power = np.cumprod(np.full(int(length.max()) if len(length) else 0, _BASE))
+    h = np.add.reduceat(codes * power[place], start) if len(start) else np.empty(0, np.uint64)
+    _, first, word = np.unique(_mixed(h), return_index=True, return_inverse=True)
+    if not ((length[first][word] == length).all()
+            and (codes[np.repeat(start[first][word], length) + place] == codes).all()):  # two words with one hash
+        seen: dict[bytes, int] = {}
+        word = np.array([seen.setdefault(codes[a:a + n].tobytes(), len(seen)) for a, n in zip(start, length)])
+        first = np.unique(word, return_index=True)[1]
+    return codes[_ranges(start[first], length[first])], length[first], word, np.searchsorted(start, bounds)
+
+
 class Pieces:
     """Vocabulary of a SentencePiece model with byte fallback: weights, surfaces, prefix tables."""
 
@@ -84,51 +149,58 @@ class Pieces:
                         tables[at].setdefault(h, -1)
         self.weight = -alpha * np.log1p(ranks)
         self.byte_weight = -alpha * np.log1p(float(n))
-        self.tables = []
-        for t in tables:
-            keys = np.array(sorted(t), dtype=np.uint64)
-            self.tables.append((keys, np.array([t[int(k)] for k in keys], dtype=np.int64)))
+        self.tables = [_Keys(t) for t in tables]
+        self.spelled = np.frombuffer(b"".join(self.surface), dtype=np.uint8)
+        self.size = np.fromiter(map(len, self.surface), dtype=np.int64, count=n)
+        self.at = np.cumsum(self.size) - self.size
 
     def decode(self, ids) -> bytes:
         """UTF-8 of the text that the ids spell, without the space put before it."""
-        out = b"".join(map(self.surface.__getitem__, ids))
+        ids = np.asarray(ids, dtype=np.int64)
+        out = self.spelled[_ranges(self.at[ids], self.size[ids])].tobytes()
         return out[1:] if out[:1] == b" " else out
 
 
 class Lattice:
     """The lattices of many words: nodes are characters, options are edges, grouped by node."""
 
-    def __init__(self, words: list[str], pieces: Pieces):
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-        length = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    def __init__(self, codes: np.ndarray, length: np.ndarray, pieces: Pieces):
+        codes = codes.astype(np.uint64)
         self.start = np.concatenate([[0], np.cumsum(length)])[:-1].astype(np.int64)
         n = len(codes)
         left = np.repeat(self.start + length, length) - np.arange(n)  # characters to the end of the word
         alive, h = np.arange(n), np.zeros(n, dtype=np.uint64)
-        nodes, sizes, ids = [], [], []
-        single = np.zeros(n, dtype=bool)
-        for size, (keys, values) in enumerate(pieces.tables, 1):
-            alive, h = alive[left[alive] >= size], h[left[alive] >= size]
+        nodes, sizes, ids, places = [], [], [], []
+        options, odd = np.zeros(n, dtype=np.int64), alive  # of each node so far
+        for size, keys in enumerate(pieces.tables, 1):
+            enough = left[alive] >= size
+            alive, h = alive[enough], h[enough]
+            if not len(alive):
+                break
             h = h * _BASE + codes[alive + size - 1] + np.uint64(1)
-            place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            found = keys[place] == h
-            alive, h, value = alive[found], h[found], values[place[found]]
+            found, value = keys.find(h)
+            alive, h = alive[found], h[found]
             whole = value >= 0
-            nodes.append(alive[whole])
-            sizes.append(np.full(int(whole.sum()), size))
+            node = alive[whole]
+            nodes.append(node)
+            sizes.append(np.full(len(node), size))
             ids.append(value[whole])
+            places.append(options[node])
+            options[node] += 1
             if size == 1:
-                single[alive[whole]] = True
-        odd = np.flatnonzero(~single)  # characters without a piece of their own: their bytes
+                odd = np.flatnonzero(options == 0)  # characters without a piece of their own: their bytes
         spelled = [chr(int(c)).encode() for c in codes[odd]]
         nodes.append(odd)
         sizes.append(np.ones(len(odd), np.int64))
         ids.append(np.full(len(odd), -1))
-        node, size, piece = np.concatenate(nodes), np.concatenate(sizes), np.concatenate(ids)
-        order = np.argsort(node, kind="stable")
-        self.node, size, piece = node[order].astype(np.int32), size[order], piece[order]
-        del nodes, sizes, ids, node, order, alive, h
-        self.first = np.searchsorted(self.node, np.arange(n + 1))
+        places.append(options[odd])
+        options[odd] += 1
+        self.first = np.concatenate([[0], np.cumsum(options)])
+        at = self.first[np.concatenate(nodes)] + np.concatenate(places)
+        size, piece = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        size[at], piece[at] = np.concatenate(sizes), np.concatenate(ids)
+        self.node = np.repeat(np.arange(n, dtype=np.int32), options)
+        del nodes, sizes, ids, places, at, alive, h
         after = self.node + size
         self.next = np.where(size == left[self.node], -1, after).astype(np.int32)
         # ids an option emits
@@ -164,8 +236,9 @@ class Lattice:
     def walk(self, node: np.ndarray, seed: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ancestral samples from each node to the end of its word: options, and how many for each."""
         where, picked, active, step = [], [], np.arange(len(node)), 0
+        mixed = _counted(seed, word)
         while len(active):
-            u = _uniform(seed[active], word[active], step)
+            u = _fraction(mixed, step)
             option = self.first[node]
             later = np.flatnonzero(u >= self.share[option])
             while len(later):
@@ -175,18 +248,18 @@ class Lattice:
             picked.append(option)
             go = self.next[option]
             on = go >= 0
-            active, node, step = active[on], go[on], step + 1
-        if not where:
-            return np.empty(0, np.int64), np.zeros(0, np.int64)
-        where_all = np.concatenate(where)
-        order = np.argsort(where_all, kind="stable")
-        return np.concatenate(picked)[order], np.bincount(where_all, minlength=len(seed))
+            active, node, mixed, step = active[on], go[on], mixed[on], step + 1
+        counts = np.zeros(len(seed), np.int64)
+        for w in where:
+            counts[w] += 1
+        out, begin = np.empty(int(counts.sum()), np.int64), np.cumsum(counts) - counts
+        for step, (w, option) in enumerate(zip(where, picked)):
+            out[begin[w] + step] = option
+        return out, counts
 
     def ids(self, options: np.ndarray) -> np.ndarray:
-        counts = self.emits[options]
-        total = np.cumsum(counts)
-        return self.flat[np.repeat(self.emit_at[options] - total + counts, counts) + np.arange(total[-1] if len(total)
-                                                                                              else 0)]
+        at, counts = self.emit_at[options], self.emits[options]
+        return self.flat[at if (counts == 1).all() else _ranges(at, counts)]
 
 
 class _Search:
@@ -200,28 +273,7 @@ class _Search:
         self.order = 0
 
     def noise(self, at: np.ndarray, sample: int) -> np.ndarray:
-        return _uniform(self.seed ^ np.uint64(0xA5A5A5A5A5A5A5A5), at, sample)
-
-    def push_rest(self, lattice: Lattice, path: int, begin: int, k: int) -> None:
-        """Bounds of what is left beside the path from step ``begin`` on: truncated Gumbels below the path's own bound.
-
-        Only the ``k`` largest can be asked for.  A uniform number of 53 bits has a Gumbel of at most 37, so the
-        search along the path ends where no later step can reach them.
-        """
-        options, _, prefix, _ = self.paths[path]
-        best: list[tuple[float, int]] = []
-        for at in range(begin, len(options), 128):
-            if len(best) == k and prefix[at] + 37 < best[-1][0]:
-                break
-            steps = np.arange(at, min(at + 128, len(options)))
-            steps = steps[~lattice.alone[lattice.node[options[steps]]]]
-            chance = np.minimum(np.exp(lattice.logp[options[steps]]), 1 - 1e-15)
-            loc = prefix[steps] + np.log1p(-chance)
-            value = loc - np.log(np.exp(np.minimum(loc - self.bound, 700)) - np.log(self.noise(steps, path + 1)))
-            top = np.argsort(value)[-k:]
-            best = sorted([*best, *zip(value[top].tolist(), steps[top].tolist())], reverse=True)[:k]
-        for value, step in best:
-            self.push(value, path, step, (int(options[step]),))
+        return _uniform(self.seed ^ _NOISE, at, sample)
 
     def push(self, bound: float, path: int, step: int, taken: tuple) -> None:
         heapq.heappush(self.heap, (-bound, self.order, path, step, taken))
@@ -248,17 +300,56 @@ class _Search:
         return path, step, free[choice]
 
 
+def _push_rests(searches: list[_Search], path: int, begin: np.ndarray, lattice: Lattice, k: int) -> None:
+    """Bounds of what is left beside this path of each search from its step ``begin`` on: truncated Gumbels below the path's
+    own bound.
+
+    Only the ``k`` largest can be asked for.  A uniform number of 53 bits has a Gumbel of at most 37, so the
+    search along a path ends where no later step can reach them.
+    """
+    best: list[list[tuple[float, int]]] = [[] for _ in searches]
+    end = np.array([len(s.paths[path][0]) for s in searches], dtype=np.int64)
+    seed = np.array([s.seed for s in searches], dtype=np.uint64) ^ _NOISE
+    bound = np.array([s.bound for s in searches])
+    todo = np.flatnonzero(begin < end)
+    while len(todo):
+        at, n = begin[todo], np.minimum(end[todo] - begin[todo], 128)
+        cuts = [(searches[s].paths[path], a, a + m) for s, a, m in zip(todo.tolist(), at.tolist(), n.tolist())]
+        options = np.concatenate([p[0][a:b] for p, a, b in cuts])
+        prefix = np.concatenate([p[2][a:b] for p, a, b in cuts])
+        steps, owner = _ranges(at, n), np.repeat(todo, n)
+        some = ~lattice.alone[lattice.node[options]]
+        options, prefix, steps, owner = options[some], prefix[some], steps[some], owner[some]
+        chance = np.minimum(np.exp(lattice.logp[options]), 1 - 1e-15)
+        loc = prefix + np.log1p(-chance)
+        noise = _uniform(seed[owner], steps, path + 1)
+        value = loc - np.log(np.exp(np.minimum(loc - bound[owner], 700)) - np.log(noise))
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        size = np.diff(np.append(first, len(owner)))
+        for _ in range(min(k, int(size.max()) if len(size) else 0)):
+            hits = np.flatnonzero(value == np.repeat(np.maximum.reduceat(value, first), size))
+            hits = hits[np.isfinite(value[hits])]
+            hits = hits[np.flatnonzero(np.diff(owner[hits], prepend=-1))]  # one a path
+            for s, v, step in zip(owner[hits].tolist(), value[hits].tolist(), steps[hits].tolist()):
+                best[s].append((v, step))
+            value[hits] = -np.inf
+        begin[todo] += 128
+        on = []
+        for s in todo[begin[todo] < end[todo]].tolist():
+            best[s] = sorted(best[s], reverse=True)[:k]
+            if len(best[s]) < k or searches[s].paths[path][2][begin[s]] + 37 >= best[s][-1][0]:
+                on.append(s)
+        todo = np.array(on, dtype=np.int64)
+    for search, found in zip(searches, best):
+        for value, step in sorted(found, reverse=True)[:k]:
+            search.push(value, path, step, (int(search.paths[path][0][step]),))
+
+
 def sample(texts: list[str], seeds: np.ndarray, k: int, pieces: Pieces):
     """Per text: ``[(ids, log-probability, log inclusion)]``, distinct, by falling perturbed log-probability."""
-    index: dict[str, int] = {}
-    searches = []
-    for text, seed in zip(texts, seeds.tolist()):
-        units = _UNITS(MARK + text.replace(" ", MARK)) if text else []
-        for unit in set(units):
-            index.setdefault(unit, len(index))
-        searches.append(_Search(seed, np.fromiter(map(index.__getitem__, units), np.int64, len(units))))
-    lattice = Lattice(list(index), pieces)
-    bounds: list[list[float]] = [[] for _ in searches]
+    codes, length, word, cuts = _units(texts)
+    lattice = Lattice(codes, length, pieces)
+    searches = [_Search(seed, word[a:b]) for seed, a, b in zip(seeds.tolist(), cuts[:-1].tolist(), cuts[1:].tolist())]
     todo = [(s, None) for s in range(len(searches))]
     for round_ in range(k):
         nodes, rows, words, kept = [], [], [], []
@@ -295,11 +386,12 @@ def sample(texts: list[str], seeds: np.ndarray, k: int, pieces: Pieces):
             total = np.cumsum(steps)
             search.paths.append((options, np.concatenate([head_words, tail_words]), total - steps,
                                  float(total[-1]) if len(total) else 0.0))
-            search.push_rest(lattice, len(search.paths) - 1, leave[1] + 1 if leave else 0, k)
-            if round_ + 1 < k:
-                out = search.branch(lattice)
-                if out is not None:
-                    todo.append((s, out))
+        _push_rests([searches[s] for s, _, _ in kept], round_, np.array([e[1] + 1 if e else 0 for _, e, _ in kept]),
+                    lattice, k)
+        for s, _, _ in kept if round_ + 1 < k else ():
+            out = searches[s].branch(lattice)
+            if out is not None:
+                todo.append((s, out))
     result = []
     for search in searches:
         left = -search.heap[0][0] if search.heap else -np.inf
@@ -362,7 +454,7 @@ def sampled(docs: DataFrame, model: str, k: int = 2, alpha: float = 0.5, seed: i
         for i, (text, found) in enumerate(zip(texts, sample(texts, seeds, k, p))):
             for n, (ids, logp, score) in enumerate(found, 1):
                 raw = ids.astype("<u4").tobytes()
-                out.append((at + i, n, len(ids), zlib.crc32(raw), logp, score, p.decode(ids.tolist()) == text.encode(),
+                out.append((at + i, n, len(ids), zlib.crc32(raw), logp, score, p.decode(ids) == text.encode(),
                             raw))
         columns = list(zip(*out))
         arrays = [batch.column("doc_id").take(pa.array(columns[0])), pa.array(columns[1], pa.int32()),

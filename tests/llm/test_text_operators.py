@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import string
+import sys
 import time
 import zlib
 
@@ -394,3 +395,44 @@ def test_samples_follow_the_distribution():
         weight = sum(np.exp(-x[2]) for f in drawn for x in f if x[0].tobytes() == segmentation) / n
         if c > 0.05:
             assert abs(weight - 1) < 0.1  # inclusion scores: the weighted count estimates 1
+
+
+def test_words_of_a_batch():
+    texts = ["the cat", "", " the  cat \n\nthe", "▁ x▁y\x00\r\n ", "\n", "a" * 5000 + " the", "é𝄞 naïve é𝄞", "the cat"]
+    pattern = re.compile("▁*[^▁\n]+|▁+|\n")
+    expected = [pattern.findall("▁" + t.replace(" ", "▁")) if t else [] for t in texts]
+
+    def cut():
+        codes, length, word, cuts = segment._units(texts)
+        ends = np.cumsum(length)
+        names = [codes[e - n:e].astype("<u4").tobytes().decode("utf-32-le") for e, n in zip(ends, length)]
+        assert len(set(names)) == len(names)
+        return [[names[w] for w in word[a:b]] for a, b in zip(cuts, cuts[1:])]
+
+    assert cut() == expected
+    mixed = segment._mixed
+    segment._mixed = lambda x: x & np.uint64(1)  # words that share a hash are still told apart
+    try:
+        assert cut() == expected
+    finally:
+        segment._mixed = mixed
+    assert segment._units(["", ""])[3].tolist() == [0, 0, 0]
+
+
+def test_segmentation_takes_no_call_a_word():
+    p = segment.pieces_of(vocabulary_path("piece_bpe_32k.model"))
+    parts = ["ka", "len", "tor", "mi", "sen", "dra", "pol", "ve"]
+    texts = [" ".join("".join(parts[(i * 7919 + j) // 8 ** d % 8] for d in range(4)) for j in range(400)) for i in range(60)]
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        drawn = segment.sample(texts, np.arange(60, dtype=np.uint64), 2, p)
+    finally:
+        sys.setprofile(None)
+    assert all(p.decode(ids) == t.encode() for t, found in zip(texts, drawn) for ids, _, _ in found)
+    assert calls < 60 * 400
