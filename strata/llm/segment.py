@@ -22,8 +22,11 @@ samples; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import zlib
+from bisect import bisect_right
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -34,15 +37,19 @@ from pyspark.sql import functions as F
 from strata.llm.common import map_arrow, ship
 
 MARK = "▁"  # a space inside pieces
+_ALL = 0xFFFFFFFFFFFFFFFF
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _NOISE = np.uint64(0xA5A5A5A5A5A5A5A5)  # sets the numbers of the bounds apart from those of the walks
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     """Splitmix64 finaliser."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _counted(seed: np.ndarray, a: np.ndarray) -> np.ndarray:
@@ -50,8 +57,12 @@ def _counted(seed: np.ndarray, a: np.ndarray) -> np.ndarray:
 
 
 def _fraction(x: np.ndarray, b: int) -> np.ndarray:
-    x = _mixed(x ^ np.uint64(0xD6E8FEB86659FD93 * (b + 1) & 0xFFFFFFFFFFFFFFFF))
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
+    x = _mixed(x ^ np.uint64(0xD6E8FEB86659FD93 * (b + 1) & _ALL))
+    x >>= np.uint64(11)
+    u = x.astype(np.float64)
+    u += 0.5
+    u *= 2.0 ** -53
+    return u
 
 
 def _uniform(seed: np.ndarray, a: np.ndarray, b: int) -> np.ndarray:
@@ -59,10 +70,22 @@ def _uniform(seed: np.ndarray, a: np.ndarray, b: int) -> np.ndarray:
     return _fraction(_counted(seed, a), b)
 
 
+def _one_uniform(seed: int, a: int, b: int) -> float:
+    """``_uniform`` of single numbers."""
+    x = seed + a * int(_BASE) & _ALL
+    for salt in (0xD6E8FEB86659FD93 * (b + 1) & _ALL, 0):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _ALL
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & _ALL
+        x ^= x >> 31 ^ salt
+    return ((x >> 11) + 0.5) * 2.0 ** -53
+
+
 def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """start, start + 1, ... of each length, one after the other."""
     end = np.cumsum(length)
-    return np.repeat(start - end + length, length) + np.arange(end[-1] if len(end) else 0)
+    out = np.repeat(start - end + length, length)
+    out += np.arange(len(out))
+    return out
 
 
 class _Keys:
@@ -83,7 +106,8 @@ class _Keys:
         bucket = (h >> self.shift).astype(np.int64)
         place = self.begin[bucket]
         found = self.keys[place] == h
-        later = np.flatnonzero(~found & (place + 1 < self.begin[bucket + 1]))
+        later = np.flatnonzero(~found)
+        later = later[place[later] + 1 < self.begin[bucket[later] + 1]]
         while len(later):
             place[later] += 1
             found[later] = self.keys[place[later]] == h[later]
@@ -107,7 +131,8 @@ def _units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     place = np.arange(len(codes)) - np.repeat(start, length)
     power = np.cumprod(np.full(int(length.max()) if len(length) else 0, _BASE))
     h = np.add.reduceat(codes * power[place], start) if len(start) else np.empty(0, np.uint64)
-    _, first, word = np.unique(_mixed(h), return_index=True, return_inverse=True)
+    word = pd.factorize(_mixed(h))[0]  # numbered as they first come
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(word), prepend=-1))
     if not ((length[first][word] == length).all()
             and (codes[np.repeat(start[first][word], length) + place] == codes).all()):  # two words with one hash
         seen: dict[bytes, int] = {}
@@ -150,14 +175,12 @@ class Pieces:
         self.weight = -alpha * np.log1p(ranks)
         self.byte_weight = -alpha * np.log1p(float(n))
         self.tables = [_Keys(t) for t in tables]
-        self.spelled = np.frombuffer(b"".join(self.surface), dtype=np.uint8)
-        self.size = np.fromiter(map(len, self.surface), dtype=np.int64, count=n)
-        self.at = np.cumsum(self.size) - self.size
+        self.spelled = np.empty(n, dtype=object)
+        self.spelled[:] = self.surface
 
     def decode(self, ids) -> bytes:
         """UTF-8 of the text that the ids spell, without the space put before it."""
-        ids = np.asarray(ids, dtype=np.int64)
-        out = self.spelled[_ranges(self.at[ids], self.size[ids])].tobytes()
+        out = b"".join(self.spelled[np.asarray(ids, dtype=np.int64)].tolist())
         return out[1:] if out[:1] == b" " else out
 
 
@@ -165,73 +188,82 @@ class Lattice:
     """The lattices of many words: nodes are characters, options are edges, grouped by node."""
 
     def __init__(self, codes: np.ndarray, length: np.ndarray, pieces: Pieces):
-        codes = codes.astype(np.uint64)
-        self.start = np.concatenate([[0], np.cumsum(length)])[:-1].astype(np.int64)
+        codes = codes.astype(np.uint64) + np.uint64(1)
+        self.start = (np.cumsum(length) - length).astype(np.int64)
         n = len(codes)
         left = np.repeat(self.start + length, length) - np.arange(n)  # characters to the end of the word
         alive, h = np.arange(n), np.zeros(n, dtype=np.uint64)
         nodes, sizes, ids, places = [], [], [], []
         options, odd = np.zeros(n, dtype=np.int64), alive  # of each node so far
         for size, keys in enumerate(pieces.tables, 1):
-            enough = left[alive] >= size
-            alive, h = alive[enough], h[enough]
+            if size > 1:
+                enough = np.flatnonzero(left[alive] >= size)
+                alive, h = alive[enough], h[enough]
             if not len(alive):
                 break
-            h = h * _BASE + codes[alive + size - 1] + np.uint64(1)
+            h = h * _BASE
+            h += codes[alive + (size - 1)]
             found, value = keys.find(h)
             alive, h = alive[found], h[found]
-            whole = value >= 0
+            whole = np.flatnonzero(value >= 0)
             node = alive[whole]
+            place = options[node]
             nodes.append(node)
             sizes.append(np.full(len(node), size))
             ids.append(value[whole])
-            places.append(options[node])
-            options[node] += 1
+            places.append(place)
+            options[node] = place + 1
             if size == 1:
                 odd = np.flatnonzero(options == 0)  # characters without a piece of their own: their bytes
-        spelled = [chr(int(c)).encode() for c in codes[odd]]
+        spelled = [chr(int(c) - 1).encode() for c in codes[odd]]
         nodes.append(odd)
         sizes.append(np.ones(len(odd), np.int64))
-        ids.append(np.full(len(odd), -1))
+        ids.append(-1 - np.arange(len(odd)))
         places.append(options[odd])
         options[odd] += 1
         self.first = np.concatenate([[0], np.cumsum(options)])
-        at = self.first[np.concatenate(nodes)] + np.concatenate(places)
-        size, piece = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
-        size[at], piece[at] = np.concatenate(sizes), np.concatenate(ids)
+        node = np.concatenate(nodes)
+        at = self.first[node]
+        at += np.concatenate(places)
+        size = np.concatenate(sizes)
+        piece, follows = np.empty(len(at), np.int32), np.empty(len(at), np.int64)
+        piece[at] = np.concatenate(ids)
+        follows[at] = np.where(size == left[node], -1, node + size)
+        del nodes, sizes, ids, places, at, alive, h, node, size
         self.node = np.repeat(np.arange(n, dtype=np.int32), options)
-        del nodes, sizes, ids, places, at, alive, h
-        after = self.node + size
-        self.next = np.where(size == left[self.node], -1, after).astype(np.int32)
-        # ids an option emits
-        self.emits = np.ones(len(piece), dtype=np.int32)
-        self.emits[piece < 0] = [len(b) for b in spelled]
-        self.emit_at = (np.cumsum(self.emits) - self.emits).astype(np.int32)
-        self.flat = np.empty(int(self.emits.sum()), dtype=np.uint32)
-        self.flat[self.emit_at[piece >= 0]] = piece[piece >= 0]
-        for at, b in zip(self.emit_at[piece < 0].tolist(), spelled):
-            self.flat[at:at + len(b)] = pieces.byte_ids[list(b)]
-        weight = np.where(piece >= 0, pieces.weight[piece], self.emits * pieces.byte_weight)
-        # backward pass: log-sum of the weights of all ways to the end of the word
+        # ids an option emits: its piece, or if negative the bytes of a character
+        self.odd_size = np.fromiter(map(len, spelled), dtype=np.int64, count=len(spelled))
+        self.odd_at = np.cumsum(self.odd_size) - self.odd_size
+        self.odd_ids = pieces.byte_ids[np.frombuffer(b"".join(spelled), dtype=np.uint8)]
+        weight = pieces.weight[piece]
+        bytewise = np.flatnonzero(piece < 0)
+        weight[bytewise] = self.odd_size[-1 - piece[bytewise]] * pieces.byte_weight
+        # backward pass: log-sum of the weights of all ways to the end of the word, where no node follows and it stays 0
         beta = np.zeros(n + 1)
-        by_left = np.argsort(left, kind="stable")
-        cuts = np.searchsorted(left[by_left], np.arange(1, (int(left.max()) if n else 0) + 2))
-        for a, b in zip(cuts, cuts[1:]):
-            here = by_left[a:b]
-            counts = self.first[here + 1] - self.first[here]
-            begins = np.cumsum(counts) - counts
-            options = np.repeat(self.first[here] - begins, counts) + np.arange(int(counts.sum()))
-            value = weight[options] + np.where(self.next[options] < 0, 0.0, beta[self.next[options]])
-            top = np.maximum.reduceat(value, begins)
-            beta[here] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, counts)), begins))
-        logp = weight + np.where(self.next < 0, 0.0, beta[self.next]) - beta[self.node]
-        order = np.argsort(2.0 * self.node - np.exp(logp), kind="stable")  # likeliest option of each node first
-        self.logp, self.next = logp[order], self.next[order]
-        self.emits, self.emit_at = self.emits[order], self.emit_at[order]
-        cumulative = np.cumsum(np.exp(self.logp))
-        self.share = cumulative - np.concatenate([[0.0], cumulative])[self.first[:-1]][self.node]
+        longest = int(left.max()) if n else 0
+        by_left = np.argsort(left.astype(np.uint16) if longest < 1 << 16 else left, kind="stable")
+        cuts = np.cumsum(np.bincount(left)) if n else np.zeros(1, np.int64)
+        counts = options[by_left]
+        begins = np.concatenate([[0], np.cumsum(counts)])
+        order = _ranges(self.first[by_left], counts)
+        weight_of, next_of = weight[order], follows[order]
+        for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+            begin, end = begins[a], begins[b]
+            at = begins[a:b] - begin
+            value = weight_of[begin:end] + beta[next_of[begin:end]]
+            top = np.maximum.reduceat(value, at)
+            value -= np.repeat(top, counts[a:b])
+            beta[by_left[a:b]] = top + np.log(np.add.reduceat(np.exp(value, out=value), at))
+        del order, weight_of, next_of
+        logp = weight + beta[follows]
+        logp -= np.repeat(beta[:n], options)
+        chance = np.exp(logp)
+        order = np.argsort(2.0 * self.node - chance, kind="stable")  # likeliest option of each node first
+        self.logp, self.next, self.piece = logp[order], follows[order].astype(np.int32), piece[order]
+        self.share = np.cumsum(chance[order])
+        self.share -= np.repeat(np.concatenate([[0.0], self.share])[self.first[:-1]], options)
         self.share[self.first[1:] - 1] = 2.0  # the last option takes what rounding leaves
-        self.alone = (self.first[1:] - self.first[:-1] == 1)  # nodes with one option
+        self.alone = options == 1  # nodes with one option
 
     def walk(self, node: np.ndarray, seed: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ancestral samples from each node to the end of its word: options, and how many for each."""
@@ -247,7 +279,7 @@ class Lattice:
             where.append(active)
             picked.append(option)
             go = self.next[option]
-            on = go >= 0
+            on = np.flatnonzero(go >= 0)
             active, node, mixed, step = active[on], go[on], mixed[on], step + 1
         counts = np.zeros(len(seed), np.int64)
         for w in where:
@@ -257,23 +289,33 @@ class Lattice:
             out[begin[w] + step] = option
         return out, counts
 
-    def ids(self, options: np.ndarray) -> np.ndarray:
-        at, counts = self.emit_at[options], self.emits[options]
-        return self.flat[at if (counts == 1).all() else _ranges(at, counts)]
+    def ids(self, options: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids that paths emit whose options lie one after the other, and where those of each path begin."""
+        ids = self.piece[options]
+        odd = np.flatnonzero(ids < 0)
+        if len(odd):
+            which = -1 - ids[odd]
+            sizes = np.ones(len(ids), np.int64)
+            sizes[odd] = self.odd_size[which]
+            end = np.concatenate([[0], np.cumsum(sizes)])
+            ids = np.repeat(ids, sizes)
+            ids[_ranges(end[odd], self.odd_size[which])] = self.odd_ids[_ranges(self.odd_at[which], self.odd_size[which])]
+            cuts = end[cuts]
+        return ids.astype(np.uint32), cuts
 
 
 class _Search:
     """A-star state of one text: its sampled paths and the heap of perturbed bounds."""
 
     def __init__(self, seed: int, words: np.ndarray):
-        self.seed, self.words = np.uint64(seed), words
-        self.bound = float(-np.log(-np.log(self.noise(np.zeros(1), 0)[0])))  # of the root: Gumbel(0)
+        self.seed, self.words = seed, words
+        self.bound = -math.log(-math.log(self.noise(0, 0)))  # of the root: Gumbel(0)
         self.heap: list[tuple] = []  # (-bound, order, path, step, taken)
-        self.paths: list[tuple[np.ndarray, np.ndarray, np.ndarray, float]] = []  # options, word of each, prefix, log-prob
+        self.paths: list[tuple[np.ndarray, np.ndarray, np.ndarray, float]] = []  # options, word ends, prefix, log-prob
         self.order = 0
 
-    def noise(self, at: np.ndarray, sample: int) -> np.ndarray:
-        return _uniform(self.seed ^ _NOISE, at, sample)
+    def noise(self, at: int, sample: int) -> float:
+        return _one_uniform(self.seed ^ int(_NOISE), at, sample)
 
     def push(self, bound: float, path: int, step: int, taken: tuple) -> None:
         heapq.heappush(self.heap, (-bound, self.order, path, step, taken))
@@ -287,15 +329,18 @@ class _Search:
         self.bound = -bound
         options, _, prefix, _ = self.paths[path]
         node = int(lattice.node[options[step]])
-        free = [o for o in range(lattice.first[node], lattice.first[node + 1]) if o not in taken]
-        chance = np.exp(lattice.logp[free])
-        u = self.noise(np.array([step]), 1000 + 64 * path + len(taken))[0] * chance.sum()
-        choice = min(int(np.searchsorted(np.cumsum(chance), u, side="right")), len(free) - 1)
-        rest = chance.sum() - chance[choice]
+        begin, end = lattice.first[node:node + 2].tolist()
+        free = [o for o in range(begin, end) if o not in taken]
+        logp = lattice.logp[begin:end].tolist()
+        chance = [math.exp(logp[o - begin]) for o in free]
+        whole = sum(chance)
+        u = self.noise(step, 1000 + 64 * path + len(taken)) * whole
+        choice = min(bisect_right(list(accumulate(chance)), u), len(free) - 1)
+        rest = whole - chance[choice]
         if len(free) > 1 and rest > 0:
-            loc = float(prefix[step] + np.log(rest))
-            u = self.noise(np.array([step]), 100_000 + 64 * path + len(taken))[0]
-            self.push(loc - float(np.log(np.exp(min(loc - self.bound, 700)) - np.log(u))), path, step,
+            loc = float(prefix[step]) + math.log(rest)
+            u = self.noise(step, 100_000 + 64 * path + len(taken))
+            self.push(loc - math.log(math.exp(min(loc - self.bound, 700)) - math.log(u)), path, step,
                       (*taken, free[choice]))
         return path, step, free[choice]
 
@@ -356,50 +401,53 @@ def sample(texts: list[str], seeds: np.ndarray, k: int, pieces: Pieces):
         for s, leave in todo:
             search = searches[s]
             if leave is None:
-                head, first, start = np.empty(0, np.int64), 0, lattice.start[search.words]
+                head, ends, first, start = np.empty(0, np.int64), np.empty(0, np.int64), 0, lattice.start[search.words]
             else:
                 path, step, option = leave
-                options, word_of, _, _ = search.paths[path]
+                options, ends, _, _ = search.paths[path]
                 head = np.append(options[:step], option)
-                first = int(word_of[step])
-                start = lattice.start[search.words[first + 1:]]
+                first = int(np.searchsorted(ends, step, side="right"))
+                ends, start = ends[:first], lattice.start[search.words[first + 1:]]
                 if lattice.next[option] >= 0:
                     start = np.append(lattice.next[option], start)
                 else:
+                    ends = np.append(ends, step + 1)
                     first += 1
             nodes.append(start)
             words.append(np.arange(first, first + len(start)))
-            rows.append(np.full(len(start), (int(search.seed) + round_ * int(_BASE)) & 0xFFFFFFFFFFFFFFFF, dtype=np.uint64))
-            kept.append((s, leave, head))
+            rows.append((search.seed + round_ * int(_BASE)) & _ALL)
+            kept.append((s, leave, head, ends))
         if not kept:
             break
-        picked, counts = lattice.walk(np.concatenate(nodes), np.concatenate(rows), np.concatenate(words))
+        sizes = np.fromiter(map(len, nodes), dtype=np.int64, count=len(nodes))
+        picked, counts = lattice.walk(np.concatenate(nodes), np.repeat(np.array(rows, dtype=np.uint64), sizes),
+                                      np.concatenate(words))
         cut = np.concatenate([[0], np.cumsum(counts)])
         at, todo = 0, []
-        for (s, leave, head), start, word in zip(kept, nodes, words):
-            search, end = searches[s], at + len(start)
-            options = np.concatenate([head, picked[cut[at]:cut[end]]])
-            tail_words = np.repeat(word, counts[at:end])
-            head_words = search.paths[leave[0]][1][:leave[1] + 1] if leave else np.empty(0, np.int64)
-            at = end
+        for (s, leave, head, ends), size in zip(kept, sizes.tolist()):
+            options = np.concatenate([head, picked[cut[at]:cut[at + size]]])
+            ends = np.concatenate([ends, cut[at + 1:at + size + 1] + (len(head) - cut[at])])
+            at += size
             steps = lattice.logp[options]
             total = np.cumsum(steps)
-            search.paths.append((options, np.concatenate([head_words, tail_words]), total - steps,
-                                 float(total[-1]) if len(total) else 0.0))
-        _push_rests([searches[s] for s, _, _ in kept], round_, np.array([e[1] + 1 if e else 0 for _, e, _ in kept]),
-                    lattice, k)
-        for s, _, _ in kept if round_ + 1 < k else ():
+            searches[s].paths.append((options, ends, total - steps, float(total[-1]) if len(total) else 0.0))
+        _push_rests([searches[s] for s, _, _, _ in kept], round_,
+                    np.array([e[1] + 1 if e else 0 for _, e, _, _ in kept]), lattice, k)
+        for s, _, _, _ in kept if round_ + 1 < k else ():
             out = searches[s].branch(lattice)
             if out is not None:
                 todo.append((s, out))
-    result = []
+    paths = [path[0] for search in searches for path in search.paths]
+    cut = np.cumsum([0, *map(len, paths)])
+    ids, cut = lattice.ids(np.concatenate(paths) if paths else np.empty(0, np.int64), cut)
+    result, ends = [], iter(zip(cut.tolist(), cut[1:].tolist()))
     for search in searches:
-        left = -search.heap[0][0] if search.heap else -np.inf
+        left = -search.heap[0][0] if search.heap else -math.inf
         found = []
-        for options, _, _, logp in search.paths:
+        for (_, _, _, logp), (a, b) in zip(search.paths, ends):
             x = logp - left  # inclusion 1 - exp(-exp(x)), as a logarithm
-            score = 0.0 if x > 30 else float(np.log(-np.expm1(-np.exp(x)))) if x > -30 else x
-            found.append((lattice.ids(options), logp, score))
+            score = 0.0 if x > 30 else math.log(-math.expm1(-math.exp(x))) if x > -30 else x
+            found.append((ids[a:b], logp, score))
         result.append(found)
     return result
 

@@ -419,6 +419,34 @@ def test_words_of_a_batch():
     assert segment._units(["", ""])[3].tolist() == [0, 0, 0]
 
 
+def test_single_random_numbers_are_those_of_arrays():
+    for seed in (0, 1, 2 ** 63, 2 ** 64 - 1, 0x123456789ABCDEF):
+        for at in (0, 1, 127, 10 ** 6):
+            for b in (0, 1, 1063, 100_065):
+                array = segment._uniform(np.array([seed], dtype=np.uint64), np.array([at]), b)
+                assert segment._one_uniform(seed, at, b) == array[0]
+
+
+def test_segmentation_takes_few_calls_a_text():
+    p = segment.pieces_of(vocabulary_path("piece_bpe_32k.model"))
+    texts = [["the cat sat", "naïve 𝄞 é", "", "\n", "x\x00y"][i % 5] for i in range(1000)]
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        drawn = segment.sample(texts, np.arange(1000, dtype=np.uint64), 2, p)
+    finally:
+        sys.setprofile(None)
+    assert all(p.decode(ids) == t.encode() for t, found in zip(texts, drawn) for ids, _, _ in found)
+    alone = [segment.sample([t], np.array([i], dtype=np.uint64), 2, p)[0] for i, t in enumerate(texts[:50])]
+    assert [[x[0].tobytes() for x in f] for f in alone] == [[x[0].tobytes() for x in f] for f in drawn[:50]]
+    assert calls < 95 * 1000
+
+
 def test_segmentation_takes_no_call_a_word():
     p = segment.pieces_of(vocabulary_path("piece_bpe_32k.model"))
     parts = ["ka", "len", "tor", "mi", "sen", "dra", "pol", "ve"]
